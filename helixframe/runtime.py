@@ -40,3 +40,14 @@ def release(df: DataFrame | None) -> None:
         jvm = df.sparkSession._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Bound the Arrow batches that go to Python workers, where the session leaves Spark's defaults.
+
+    Texts may be long, so the default of 10,000 rows a batch is no bound on memory.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b") or 0) >= 1 << 28:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
