@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import simhash
+from helixframe.llm import bpe, simhash, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Production parameters.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TOKEN_LIMIT = 512
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,8 +27,26 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes")
+    counted = tokencount.count_tokens(docs, TOKENIZER)
+    return counted.select("doc_id", n_bytes, "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, RANKS).select("doc_id", "ids"), RANKS)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash_dedup,)}
+    return {f.__name__: f for f in (op2_simhash_dedup, op9_token_counts, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
