@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import bpe, simhash, tokencount
+from helixframe.llm import ann, bpe, itq, simhash, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,14 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes")
@@ -46,7 +54,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash_dedup, op9_token_counts, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_simhash_dedup, op3_embedding_dedup, op8_nearest_neighbours, op9_token_counts, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
