@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.operators.components import connected_components
-from helixframe.runtime import materialize
+from helixframe.runtime import bound_batches, materialize
 
 #: Shingles whose bits are counted at once; bounds the memory for very long texts.
 CHUNK = 16384
@@ -94,6 +94,7 @@ def linked_pairs(distinct: DataFrame, column: str, radius: int = 3, segments: in
 
 def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 3, seed: int = 42, radius: int = 3, segments: int = 2) -> DataFrame:
     """``docs`` without its text, with fingerprint (16 hex digits), fingerprint_bits (signed long) and component_id."""
+    bound_batches(docs.sparkSession)
     own = ("fingerprint", "fingerprint_bits", "component_id")
     narrow = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in own), fingerprints(F.col(text), shingle, seed).alias("fingerprint_bits"))
     narrow = materialize(narrow, "fingerprints")
