@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import ann, bpe, itq, simhash, tokencount
+from helixframe.llm import ann, bpe, chat, itq, mixing, oracles, sharding, simhash, tokencount
+from helixframe.runtime import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKEN_LIMIT = 512
+#: Weight units of the mix: named sources, and one unit for every other source.
+WEIGHTS = {"src0": 6, "src1": 5, "src2": 4, "src3": 3, "src4": 2}
+BLOCK_ROWS = 32
+#: Tokens of a chat window, and of the history that it repeats.
+BUDGET, HISTORY = 512, 64
+ARRIVALS = 8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +39,39 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs, WEIGHTS, block_rows=BLOCK_ROWS)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"))
+    windows = chat.format_windows(table.unionByName(planted), BUDGET, HISTORY)
+    back = windows.select("conv_id", "window", chat.new_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"), F.length("formatted").alias("chars"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    parts = back.select("conv_id", F.struct("window", said.alias("said"), "loss").alias("x"), F.size("turns").alias("n"), "chars")
+    whole = parts.groupBy("conv_id").agg(F.sort_array(F.collect_list("x")).alias("x"), F.sum("n").cast("bigint").alias("n_turns"), F.sum("chars").cast("bigint").alias("formatted_chars"))
+    loss = F.array_join("x.loss", "")
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(F.array_join("x.said", ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    store = sharding.ShardStore(spark, f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}", docs.schema)
+    store.append(docs, F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)))
+    store.compact()
+    store.vacuum()
+    return store.read().select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.md5("text").alias("text_md5"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -54,8 +95,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash_dedup, op3_embedding_dedup, op8_nearest_neighbours, op9_token_counts, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_simhash_dedup, op3_embedding_dedup, op4_source_mix, op5_chat_format, op6_sharding, op8_nearest_neighbours, op9_token_counts, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    cases = " ".join(f"WHEN sk = 's{k}' THEN {w}" for k, w in WEIGHTS.items())
+    return {
+        "op4_source_mix": oracles.SOURCE_MIX.format(cases=cases, rows=BLOCK_ROWS),
+        "op5_chat_format": oracles.CHAT_FORMAT.format(budget=BUDGET, history=HISTORY),
+        "op6_sharding": oracles.SHARDING,
+    }
