@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,7 +48,7 @@ def release(df: DataFrame | None) -> None:
 
 
 def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
-    """Bound the Arrow batches that go to Python workers, where the session leaves Spark's defaults.
+    """Prepare a session for Python operators: bound their Arrow batches where it leaves Spark's defaults, and send the package.
 
     Texts may be long, so the default of 10,000 rows a batch is no bound on memory.
     """
@@ -51,3 +56,21 @@ def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> No
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b") or 0) >= 1 << 28:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    _ship(spark)
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    handle, name = tempfile.mkstemp(prefix="helixframe-", suffix=".zip")
+    with os.fdopen(handle, "wb") as f:
+        f.write(held.getvalue())
+    context.addPyFile(name)
+    _shipped.add(context.applicationId)
