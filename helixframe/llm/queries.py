@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import ann, bpe, chat, itq, mixing, oracles, sharding, simhash, tokencount
+from helixframe.llm import ann, bpe, chat, itq, langid, mixing, oracles, quality, sharding, simhash, tokencount
 from helixframe.runtime import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs).select("doc_id", F.round("quality_score", 6).alias("quality_score"), F.col("quality_kept").alias("kept"))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.simhash_components(docs).select("doc_id", "fingerprint", "component_id")
@@ -72,6 +77,20 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read().select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.md5("text").alias("text_md5"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    found = langid.identify(docs, declared=F.col("lang"), host=F.col("source"))
+    return found.select("doc_id", "lang_id", F.round("lang_posterior", 6).alias("posterior"), F.col("lang_kept").alias("kept"))
+
+
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator over web pages: markup, address suffix and host are all there."""
+    pages = _table(spark, sf_dir, "pages")
+    html = F.col("html")
+    found = langid.identify(pages, text=langid.page_text(html), declared=langid.declared_in(html), host=langid.host_of(F.col("url")))
+    return found.select("page_id", "lang_id", F.round("lang_posterior", 6).alias("posterior"), F.col("lang_kept").alias("kept"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -95,7 +114,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_simhash_dedup, op3_embedding_dedup, op4_source_mix, op5_chat_format, op6_sharding, op8_nearest_neighbours, op9_token_counts, op10_byte_bpe)}
+    every = (
+        op1_quality_classifier,
+        op2_simhash_dedup,
+        op3_embedding_dedup,
+        op4_source_mix,
+        op5_chat_format,
+        op6_sharding,
+        op7_language_id,
+        op8_nearest_neighbours,
+        op9_token_counts,
+        op10_byte_bpe,
+        page_languages,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
