@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules of this folder that register queries when imported.
-MODULES = ("seed_queries",)
+MODULES = ("seed_queries", "join_queries", "interval_queries")
 
 
 @dataclass(frozen=True)

@@ -22,10 +22,15 @@ def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("name"), S.encode_text("text").alias("seq"))
 
 
+def item_id():
+    """A number for each item; order and line alone repeat."""
+    return ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")) * 100 + F.col("l_quantity").cast("bigint")
+
+
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals (key, id, a, b): thirty days from an item's shipping, by part."""
     day = F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint")
-    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), day.alias("a"), (day + 30).alias("b"))
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), item_id().alias("id"), day.alias("a"), (day + 30).alias("b"))
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +38,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col
     size = (F.lit(400) + n("l_quantity").cast("bigint") * 60).alias("size")
     base = table(spark, sf_dir, "lineitem").select(
-        (n("l_orderkey") * 10 + n("l_linenumber")).alias("id"),
+        item_id().alias("id"),
         n("l_suppkey").alias("ref"),
         n("l_orderkey").alias("qry"),
         (1 + (n("l_partkey") * 37 + n("l_linenumber") * 911) % 12000).alias("rs"),
@@ -72,9 +77,9 @@ _ENC = "translate(regexp_replace(lower({0}), '[^a-z]', '', 'g'), 'abcdefghijklmn
 READS = f"reads AS (SELECT doc_id AS name, {_ENC.format('text')} AS seq FROM documents)"
 FRAGMENTS = f"fragments AS (SELECT item_id AS name, {_ENC.format('text')} AS seq FROM benchmark)"
 _DAY = "date_diff('day', DATE '1970-01-01', l_shipdate::DATE)::BIGINT"
-INTERVALS = f"intervals AS (SELECT l_partkey AS key, l_orderkey * 10 + l_linenumber AS id, {_DAY} AS a, {_DAY} + 30 AS b FROM lineitem)"
+INTERVALS = f"intervals AS (SELECT l_partkey AS key, ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100 + l_quantity::BIGINT AS id, {_DAY} AS a, {_DAY} + 30 AS b FROM lineitem)"
 MATCHES = """m0 AS (
-  SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey AS ref, l_orderkey AS qry,
+  SELECT ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100 + l_quantity::BIGINT AS id, l_suppkey AS ref, l_orderkey AS qry,
     1 + (l_partkey * 37 + l_linenumber * 911) % 12000 AS rs, 1 + (l_linenumber * 1900 + l_suppkey * 13) % 9000 AS q,
     400 + l_quantity::BIGINT * 60 AS size, l_partkey % 3 <> 0 AS fwd, 90 + round(l_discount * 100)::BIGINT % 10 AS idy,
     15500 + l_suppkey * 10 AS rlen, 12500 + l_orderkey % 500 AS qlen FROM lineitem
