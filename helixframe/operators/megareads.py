@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from helixframe.operators import tiling
-from helixframe.runtime import bound_batches
+from helixframe.operators.grouped import per_group
 
 
 def path_overlap(a: list[str], b: list[str]) -> int:
@@ -143,7 +143,6 @@ def assemble(coords: DataFrame, unitigs: DataFrame, unitig_k: int, **how) -> Dat
     """
     from pyspark.sql import functions as F
 
-    bound_batches(coords.sparkSession)
     named = coords.withColumn("__u", F.explode(F.split("path", "_")))
     lens = named.withColumn("uid", F.regexp_replace("__u", "[FR]$", "")).join(unitigs.select(F.col("uid").cast("string").alias("uid"), "len"), "uid")
     known = lens.groupBy("read").agg(F.collect_set(F.struct("uid", "len")).alias("lens"))
@@ -159,4 +158,4 @@ def assemble(coords: DataFrame, unitigs: DataFrame, unitig_k: int, **how) -> Dat
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         return pd.DataFrame([{"read": df.read.iloc[0], **x} for x in rows], columns=names)
 
-    return coords.join(known, "read").groupBy("read").applyInPandas(one, SCHEMA)
+    return per_group(coords.join(known, "read"), ["read"], one, SCHEMA)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions.sequence import reverse_complement
 from helixframe.operators.components import connected_components
+from helixframe.operators.grouped import per_group
 from helixframe.runtime import bound_batches, materialize
 
 End = tuple[str, str]
@@ -284,7 +285,7 @@ def trees(edges: DataFrame) -> DataFrame:
         placed = place_branches(path, tree, links)
         return pd.DataFrame([(df.component.iloc[0], n, p, n in path) for n, p in placed], columns=["component", "node", "position", "in_trunk"])
 
-    return rows.groupBy("component").applyInPandas(one, "component string, node string, position double, in_trunk boolean")
+    return per_group(rows, ["component"], one, "component string, node string, position double, in_trunk boolean")
 
 
 def merge_pair(a: str, b: str, spans: tuple[int, int, int, int], slack: int = 500) -> str | None:

@@ -7,7 +7,7 @@ from bisect import bisect_right
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from helixframe.runtime import bound_batches
+from helixframe.operators.grouped import per_group
 
 
 def _union(covered: list[tuple[float, float]], a: float, b: float) -> list[tuple[float, float]]:
@@ -67,7 +67,6 @@ def maximal(spans: list[tuple[float, float]], scores: list[float], k: int, play:
 
 def tile(rows: DataFrame, how: str = "greedy", key: str = "key", k: int = 17, play: float = 1.3) -> DataFrame:
     """Rows (key, id) chosen among spans (key, id, a, b, score): greedy, weighted or maximal; ``none`` keeps all."""
-    bound_batches(rows.sparkSession)
     if how == "none":
         return rows.select(key, "id")
     kind = dict(rows.dtypes)[key]
@@ -78,4 +77,4 @@ def tile(rows: DataFrame, how: str = "greedy", key: str = "key", k: int = 17, pl
         pick = {"greedy": greedy, "weighted": weighted, "maximal": maximal}[how](spans, scores, k, play)
         return df.iloc[sorted(pick)][[key, "id"]]
 
-    return rows.select(key, "id", "a", "b", "score").groupBy(key).applyInPandas(one, f"{key} {kind}, id long")
+    return per_group(rows.select(key, "id", "a", "b", "score"), [key], one, f"{key} {kind}, id long")
