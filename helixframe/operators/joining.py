@@ -72,7 +72,7 @@ def join_reads(reads: DataFrame, pieces: DataFrame, verdicts: DataFrame | None =
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame(columns=["read", "part", "seq"])
-        given = {tuple(sorted((v["a"], v["b"]))): v["verdict"] for v in (right.verdicts.iloc[0] if "verdicts" in right else None) or []}
+        given = {tuple(sorted((v["a"], v["b"]))): v["verdict"] for v in _verdicts(right)}
         found = join_pieces(left.seq.iloc[0], right[["name", "start", "stop", "seq"]].to_dict("records"), lambda a, b: given.get(tuple(sorted((a, b))), 0), **how)
         rows = [(left.name.iloc[0], i, s) for i, s in enumerate(s for s in found if len(s) >= least_out)]
         return pd.DataFrame(rows, columns=["read", "part", "seq"])
@@ -86,6 +86,11 @@ def join_reads(reads: DataFrame, pieces: DataFrame, verdicts: DataFrame | None =
     return read_of.groupBy("name").cogroup(own.groupBy("read")).applyInPandas(lambda x, y: one(_first(x), y), schema)
 
 
+def _verdicts(df: pd.DataFrame) -> list:
+    given = df.verdicts.iloc[0] if "verdicts" in df else None
+    return [] if given is None else list(given)
+
+
 def _first(df: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name": df["name"].values[:1], "seq": df["seq"].values[:1]})
 

@@ -16,6 +16,12 @@ def path_overlap(a: list[str], b: list[str]) -> int:
     return next((m for m in range(min(len(a), len(b)) - 1, 0, -1) if a[-m:] == b[:m]), 0)
 
 
+def trim_to_matched(path: list[str], seeds: list[int]) -> tuple[int, int]:
+    """(unitigs to drop at the start, at the end): ends without seeds of their own; ``seeds`` has 2u - 1 counts."""
+    own = [i for i, n in enumerate(seeds[::2]) if n > 0]
+    return (own[0], len(path) - 1 - own[-1]) if own else (0, 0)
+
+
 @dataclass
 class Node:
     """An aligned path on a read, and the best chain of overlapping paths that ends in it."""

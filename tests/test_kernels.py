@@ -83,3 +83,9 @@ def test_mega_read_follows_the_path():
     out = megareads.mega_reads([node("1F_2R", 10), node("2R_3F", 40), node("7F", 300)], lengths | {"7": 80}, 21, 400, least=50)
     assert out[0]["path"] == "1F_2R_3F" and out[0]["path_len"] == 110 and out[0]["score"] == 110
     assert [x["path"] for x in out] == ["1F_2R_3F", "7F"] and megareads.path_overlap("1F 2R 7F 1F 2R".split(), "1F 2R 3F 4R".split()) == 2
+
+
+def test_trim_to_matched():
+    path = "1F 2F 3F 4F".split()
+    assert megareads.trim_to_matched(path, [0, 0, 3, 1, 1, 0, 0]) == (1, 1)
+    assert megareads.trim_to_matched(path, [1, 0, 0, 0, 0, 0, 2]) == (0, 0) == megareads.trim_to_matched(path, [0] * 7)
