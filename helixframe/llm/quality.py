@@ -167,12 +167,13 @@ def classify(docs: DataFrame, text: str = "text", least: float = 0.4, sample: in
     kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in OWN))
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
-    @F.arrow_udf("int")
-    def pattern_of(texts: pa.Array) -> pa.Array:
-        found = [_pattern(votes(statistics(*p))) for p in pieces(texts)]
-        return pa.array(np.concatenate([*found, np.empty(0, np.int64)]).astype(np.int32))
+    def tally(batches):
+        # Keys and votes come back without the texts, so no task queues rows that wait for a result.
+        for batch in batches:
+            found = [_pattern(votes(statistics(*p))) for p in pieces(batch["t"])]
+            yield pa.RecordBatch.from_pydict({"key": batch["key"], "pattern": pa.array(np.concatenate([*found, np.empty(0, np.int64)]).astype(np.int32))})
 
-    voted = materialize(kept.select(F.xxhash64(body).alias("key"), pattern_of(body).alias("pattern")), "votes")
+    voted = materialize(kept.select(F.xxhash64(body).alias("key"), body.alias("t")).mapInArrow(tally, "key long, pattern int"), "votes")
     counted = sorted((r["pattern"], r["n"]) for r in voted.groupBy("pattern").agg(F.count("*").alias("n")).collect())  # at most 3 ** labellers rows
     none = int(_pattern(np.full((1, len(LABELLERS)), ABSTAIN))[0])
     counted = [x for x in counted if x[0] != none]

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that numpy works on at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def pieces(texts: pa.Array, size: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
