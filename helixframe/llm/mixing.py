@@ -30,7 +30,7 @@ OWN = ("mix_slot", "mix_block", "mix_row")
 
 
 def schedule(units: DataFrame) -> DataFrame:
-    """Rows (sk, u, j, slot) for one period of the sources in ``units`` (sk string, u bigint > 0)."""
+    """Rows (sk, u, h, j, slot) for one period of the sources in ``units`` (sk string, u bigint > 0)."""
     one = units.agg(F.sort_array(F.collect_list(F.struct("sk", "u"))).alias("s"), F.sum("u").cast("bigint").alias("h")).where("h > 0")
     fold = """aggregate(
         sequence(0L, h - 1L),
@@ -42,8 +42,8 @@ def schedule(units: DataFrame) -> DataFrame:
     pick = """array_min(filter(
         transform(s, (x, i) -> named_struct('due', ((acc.done[i] + 1) * h + x.u - 1) div x.u, 'i', i, 'release', (acc.done[i] * h) div x.u)),
         b -> b.release <= t)).i"""
-    ran = one.select("s", F.expr(fold.format(next=pick)).alias("ran")).select("s", F.posexplode("ran").alias("slot", "i"))
-    named = ran.select(F.expr("s[i].sk").alias("sk"), F.expr("s[i].u").alias("u"), "slot")
+    ran = one.select("s", "h", F.expr(fold.format(next=pick)).alias("ran")).select("s", "h", F.posexplode("ran").alias("slot", "i"))
+    named = ran.select(F.expr("s[i].sk").alias("sk"), F.expr("s[i].u").alias("u"), "h", "slot")
     return named.withColumn("j", F.row_number().over(Window.partitionBy("sk").orderBy("slot")).cast("bigint") - 1)
 
 
@@ -69,12 +69,11 @@ def mix(docs: DataFrame, weights: dict[str, int], default: int = 1, block_rows:
     given = F.create_map(*(x for k, w in weights.items() for x in (F.lit("s" + k), F.lit(int(w))))) if weights else None
     unit = F.coalesce(given[F.col("__sk")], F.lit(int(default))) if weights else F.lit(int(default))
     slots = schedule(sizes.select(F.col("__sk").alias("sk"), unit.cast("bigint").alias("u")))
-    slots = slots.select(F.col("sk").alias("__sk"), F.col("u").alias("__u"), F.col("j").alias("__j"), F.col("slot").alias("__t"))
-    period = sizes.agg(F.sum(unit.cast("bigint")).alias("__h"))
+    slots = slots.select(F.col("sk").alias("__sk"), F.col("u").alias("__u"), F.col("h").alias("__h"), F.col("j").alias("__j"), F.col("slot").alias("__t"))
     placed = placed.withColumn("mix_block", F.expr(f"__r div {int(block_rows)}L")).withColumn("mix_row", F.col("__r") % block_rows)
-    per_source = slots.select("__sk", "__u").distinct()
+    per_source = slots.select("__sk", "__u", "__h").distinct()
     timed = placed.join(F.broadcast(per_source), "__sk").withColumn("__j", F.expr("mix_block % __u"))
-    timed = timed.join(F.broadcast(slots.select("__sk", "__j", "__t")), ["__sk", "__j"]).crossJoin(F.broadcast(period))
+    timed = timed.join(F.broadcast(slots.select("__sk", "__j", "__t")), ["__sk", "__j"])
     slot = F.expr("(mix_block div __u) * __h + __t")
     return timed.select(*kept.columns, slot.cast("bigint").alias("mix_slot"), "mix_block", "mix_row")
 
