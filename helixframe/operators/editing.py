@@ -132,9 +132,9 @@ def extend_matches(matches: DataFrame, unknown: DataFrame, tolerance: int = 100_
 
 def random_edits(seqs: DataFrame, rate: float, seed: int = 1) -> DataFrame:
     """Substitutions (name, pos, ref, alt) at a share ``rate`` of the bases, drawn by a seeded hash of (name, pos)."""
-    at = seqs.where(F.length("seq") > 0).select("name", "seq", F.explode(F.sequence(F.lit(1), F.length("seq"))).alias("pos"))
+    at = seqs.where(F.length("seq") > 0).select("name", F.posexplode(F.split("seq", "")).alias("i", "ref")).withColumn("pos", F.col("i") + 1)
     h = F.xxhash64("name", "pos", F.lit(seed))
-    hit = at.where(F.pmod(h, F.lit(1_000_000)) < int(rate * 1_000_000)).withColumn("ref", F.substr(F.col("seq"), F.col("pos"), F.lit(1)))
+    hit = at.where(F.pmod(h, F.lit(1_000_000)) < int(rate * 1_000_000))
     turn = F.pmod(F.shiftright(h, 32), F.lit(3)).cast("int") + 1
     known = F.expr("instr('ACGT', upper(ref))")
     to = F.substr(F.lit("ACGTACGT"), known + turn, F.lit(1))

@@ -9,6 +9,8 @@ from helixframe.functions import sequence as S
 
 #: A build side up to this many rows is broadcast; beyond it the join shuffles on the word.
 BROADCAST_ROWS = 2_000_000
+#: Words that are cut from one piece of a sequence; even, so that thinning keeps odd offsets.
+PIECE = 128
 
 
 def words(seqs: DataFrame, k: int, name: str = "name", seq: str = "seq", thin: bool = False) -> DataFrame:
@@ -17,9 +19,13 @@ def words(seqs: DataFrame, k: int, name: str = "name", seq: str = "seq", thin: b
     ``thin`` keeps the words at odd offsets only.
     """
     s = F.col(seq)
-    at = F.sequence(F.lit(1), F.length(s) - k + 1, F.lit(2 if thin else 1))
-    out = seqs.where(F.length(s) >= k).select(F.col(name).alias("name"), s.alias("__s"), F.explode(at).alias("pos"))
-    out = out.select("name", "pos", F.substr(F.col("__s"), F.col("pos"), F.lit(k)).alias("kmer"))
+    # A substring is found by walking from the string's start, so words are cut from short pieces of the sequence.
+    at = F.sequence(F.lit(1), F.length(s) - k + 1, F.lit(PIECE))
+    cut = seqs.where(F.length(s) >= k).select(F.col(name).alias("name"), s.alias("__s"), F.explode(at).alias("__a"))
+    cut = cut.select("name", "__a", F.substr(F.col("__s"), F.col("__a"), F.lit(PIECE + k - 1)).alias("__p"))
+    inner = F.sequence(F.lit(1), F.length("__p") - k + 1, F.lit(2 if thin else 1))
+    out = cut.select("name", "__a", "__p", F.explode(inner).alias("__i"))
+    out = out.select("name", (F.col("__a") + F.col("__i") - 1).alias("pos"), F.substr(F.col("__p"), F.col("__i"), F.lit(k)).alias("kmer"))
     return out.where(F.col("kmer").rlike("^[ACGTacgt]+$"))
 
 
