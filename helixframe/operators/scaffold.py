@@ -184,25 +184,31 @@ def piece_links(pieces: DataFrame) -> DataFrame:
     return rows.where("ctg1 is not null")
 
 
-def fill_by_search(gaps: DataFrame, edges: DataFrame, steps: int = 8, width: int = 10) -> DataFrame:
+def fill_by_search(gaps: DataFrame, edges: DataFrame, width: int = 10) -> DataFrame:
     """(id, path): the only chain of overlapping unitigs between the gap's ends, of at most twice its length.
 
     ``gaps`` has (id, src, dst, gap), ``edges`` (src, dst, add): oriented unitigs that follow each
-    other, and the bases that the second adds.  Breadth-first; a gap with more than ``width``
-    open chains, or with several answers, gets none.
+    other, and the bases that the second adds, at least one.  Breadth-first until no chain is open,
+    which the length bounds; a gap that ever has more than ``width`` open chains, or several answers,
+    gets none.
     """
     front = gaps.select("id", F.col("src").alias("at"), "dst", "gap", F.lit(0).cast("long").alias("n"), F.array(F.col("src")).alias("path"))
-    done = None
-    for _ in range(steps):
-        e = edges.select(F.col("src").alias("at"), F.col("dst").alias("to"), "add")
+    least = F.when(F.col("add") < 1, F.raise_error(F.lit("an edge must add at least one base"))).otherwise(F.col("add"))
+    e = edges.select(F.col("src").alias("at"), F.col("dst").alias("to"), least.alias("add"))
+    done = crowded = None
+    while done is None or not front.isEmpty():
         nxt = front.join(e, "at").where(F.col("n") + F.col("add") <= 2 * F.col("gap"))
         nxt = nxt.select("id", F.col("to").alias("at"), "dst", "gap", (F.col("n") + F.col("add")).alias("n"), F.concat("path", F.array("to")).alias("path"))
         crowd = F.count("*").over(Window.partitionBy("id"))
-        front = materialize(nxt.withColumn("c", crowd).where(F.col("c") <= width).drop("c"), "front")
+        level = materialize(nxt.withColumn("c", crowd), "front")
+        full = level.where(F.col("c") > width).select("id")
+        front = level.where(F.col("c") <= width).drop("c")
         hit = front.where("at = dst").select("id", "path")
         done = hit if done is None else done.unionByName(hit)
+        crowded = full if crowded is None else crowded.unionByName(full)
         front = front.where("at <> dst")
-    return done.groupBy("id").agg(F.count("*").alias("k"), F.first("path").alias("path")).where("k = 1").select("id", "path")
+    found = done.join(crowded.distinct(), "id", "left_anti")
+    return found.groupBy("id").agg(F.count("*").alias("k"), F.first("path").alias("path")).where("k = 1").select("id", "path")
 
 
 def spanning_tree(edges: list[tuple[str, str, float]], partner: dict[str, str], bond: float = 1000.0) -> list[tuple[str, str, float]]:

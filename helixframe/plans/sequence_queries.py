@@ -239,4 +239,4 @@ def gap_paths(spark, sf):
     part = R.table(spark, sf, "part")
     edges = part.select(F.col("p_partkey").cast("string").alias("src"), ((F.col("p_partkey") * 3 + F.col("p_size")) % 200).cast("string").alias("dst"), (F.col("p_size") + 1).cast("long").alias("add"))
     gaps = R.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_suppkey").cast("string").alias("src"), (F.col("s_nationkey") * 7).cast("string").alias("dst"), F.lit(60).cast("long").alias("gap"))
-    return G.fill_by_search(gaps, edges, steps=4).select("id", F.array_join("path", "_").alias("path"))
+    return G.fill_by_search(gaps, edges).select("id", F.array_join("path", "_").alias("path"))

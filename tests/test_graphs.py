@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from helixframe import catalog
 from helixframe.functions import sequence as S
 from helixframe.operators import editing as E
 from helixframe.operators import joining, merging
@@ -80,6 +81,48 @@ def test_fill_by_search(spark):
     assert [(r.id, r.path) for r in G.fill_by_search(gaps, edges, 3).collect()] == [(1, ["s", "m", "t"])]
 
 
+def brute_gap_paths(gaps, edges, width=10):
+    """Answers level by level, without a limit on links."""
+    near = {}
+    for a, b, add in edges:
+        near.setdefault(a, []).append((b, add))
+    out = {}
+    for id, src, dst, gap in gaps:
+        front, found = [([src], 0)], []
+        while front:
+            front = [([*p, b], n + add) for p, n in front for b, add in near.get(p[-1], ()) if n + add <= 2 * gap]
+            if len(front) > width:
+                found = []
+                break
+            found += [p for p, _ in front if p[-1] == dst]
+            front = [(p, n) for p, n in front if p[-1] != dst]
+        if len(found) == 1:
+            out[id] = found[0]
+    return out
+
+
+def test_fill_by_search_has_no_limit_on_links(spark):
+    chain = [(f"c{i}", f"c{i + 1}", 2) for i in range(12)]
+    second = [("s", "t", 1), ("s", "l0", 1), *((f"l{i}", f"l{i + 1}", 1) for i in range(9)), ("l9", "t", 1)]
+    ring = [("r", "r", 1)]
+    crowd = [("k", "z", 1), *(("k", f"k{i}", 1) for i in range(2)), *((f"k{i}", f"k{i}_{j}", 1) for i in range(2) for j in range(7))]
+    edges = [*chain, *second, *ring, *crowd]
+    gaps = [(1, "c0", "c12", 12), (2, "c0", "c12", 11), (3, "s", "t", 10), (4, "s", "t", 5), (5, "r", "q", 15), (6, "k", "z", 10)]
+    want = brute_gap_paths(gaps, edges)
+    assert len(want[1]) == 13 and set(want) == {1, 4}
+    frames = spark.createDataFrame(gaps, "id int, src string, dst string, gap long"), spark.createDataFrame(edges, "src string, dst string, add long")
+    assert {r.id: r.path for r in G.fill_by_search(*frames).collect()} == want
+
+
+def test_gap_paths_against_brute_force(spark):
+    data = "/root/testdata/sf0.01"
+    part, supplier = (spark.read.parquet(f"{data}/{t}.parquet").collect() for t in ("part", "supplier"))
+    edges = [(str(r.p_partkey), str((r.p_partkey * 3 + r.p_size) % 200), r.p_size + 1) for r in part]
+    gaps = [(r.s_suppkey, str(r.s_suppkey), str(r.s_nationkey * 7), 60) for r in supplier]
+    want = {i: "_".join(p) for i, p in brute_gap_paths(gaps, edges).items()}
+    assert {r.id: r.path for r in catalog.queries()["gap_paths"](spark, data).collect()} == want
+
+
 def test_merge_pair_and_windows():
     a, b = "A" * 2000 + "C" * 700, "C" * 700 + "G" * 2000
     assert G.merge_pair(a, b, (2001, 2700, 1, 700)) == "A" * 2000 + "C" * 700 + "G" * 2000
