@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept;
 between stages documents are written as Parquet and read again.  All but the last
-return the columns of documents.
+return the columns of documents.  Files keep no order when they are read, so the last
+stage returns the schedule of the mix with its rows.
 """
 
 from __future__ import annotations
@@ -40,10 +41,15 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), RANKS), RANKS)
+    """Token ids of every document, whether they decode to its text, and its place in the mix.
+
+    Rows in order of (mix_slot, mix_row) are the mix that source_mix decided on: the
+    schedule depends on the documents' ids and sources only.
+    """
+    mixed = mixing.mix(docs.select("doc_id", "source", "text"), WEIGHTS, block_rows=BLOCK_ROWS)
+    both = bpe.decode(bpe.encode(mixed, RANKS), RANKS)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return both.select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("decodes"))
+    return both.select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("decodes"), *mixing.OWN)
 
 
 STAGES = [
