@@ -92,10 +92,10 @@ def linked_pairs(distinct: DataFrame, column: str, radius: int = 3, segments: in
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 3, seed: int = 42, radius: int = 3, segments: int = 2) -> DataFrame:
-    """``docs`` without its text, with fingerprint (16 hex digits), fingerprint_bits (signed long) and component_id."""
+def _grouped(docs: DataFrame, text: str, id: str, shingle: int, seed: int, radius: int, segments: int) -> DataFrame:
+    """``docs`` without its text, with fingerprint_bits, component_id and __component, the smallest fingerprint of the component."""
     bound_batches(docs.sparkSession)
-    own = ("fingerprint", "fingerprint_bits", "component_id")
+    own = ("fingerprint", "fingerprint_bits", "component_id", "__component")
     narrow = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in own), fingerprints(F.col(text), shingle, seed).alias("fingerprint_bits"))
     narrow = materialize(narrow, "fingerprints")
     by_value = materialize(narrow.groupBy("fingerprint_bits").agg(F.min(f"`{id}`").alias("first_id")), "distinct")
@@ -104,19 +104,28 @@ def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id",
     # Only linked fingerprints go through the join; a lone fingerprint is its own component.
     members = comps.join(by_value, comps.node == by_value.fingerprint_bits).select("component", "fingerprint_bits", "first_id")
     smallest = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = members.join(smallest, "component").select("fingerprint_bits", "component_id")
-    ids = by_value.join(linked, "fingerprint_bits", "left").select("fingerprint_bits", F.coalesce("component_id", "first_id").alias("component_id"))
+    linked = members.join(smallest, "component").select("fingerprint_bits", "component", "component_id")
+    ids = by_value.join(linked, "fingerprint_bits", "left").select("fingerprint_bits", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component", "fingerprint_bits").alias("__component"))
+    return narrow.join(ids, "fingerprint_bits", "left")
+
+
+def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 3, seed: int = 42, radius: int = 3, segments: int = 2) -> DataFrame:
+    """``docs`` without its text, with fingerprint (16 hex digits), fingerprint_bits (signed long) and component_id."""
     hexed = F.lower(F.lpad(F.hex("fingerprint_bits"), 16, "0"))
-    return narrow.join(ids, "fingerprint_bits", "left").select("*", hexed.alias("fingerprint"))
+    return _grouped(docs, text, id, shingle, seed, radius, segments).drop("__component").select("*", hexed.alias("fingerprint"))
 
 
-def keep_first(docs: DataFrame, text: str = "text", id: str = "doc_id", **how) -> DataFrame:
+def keep_first(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 3, seed: int = 42, radius: int = 3, segments: int = 2) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id; columns as in ``docs``.
 
-    Rows without an id cannot be named as a group's representative and all stay;
-    rows that repeat an id count as one document.
+    Groups go by fingerprints, so different texts that share an id each stand for their own
+    group; of texts of one group under its smallest id, the one with the smallest md5 stays.
+    Rows without an id cannot stand for rows that have one: of those of each group, one stays
+    besides, again the one with the smallest md5.
     """
-    groups = simhash_components(docs.select(f"`{id}`", f"`{text}`"), text, id, **how)
-    kept = groups.where(F.col(id) == F.col("component_id")).select(id).distinct()
-    named = docs.join(kept, id, "left_semi").dropDuplicates([id])
-    return named.select(docs.columns).unionByName(docs.where(F.col(id).isNull()))
+    hashed = F.coalesce(F.md5(F.col(f"`{text}`").cast("binary")), F.lit(""))
+    # A struct, so that null ids are equal to each other.
+    row = F.struct(F.col(f"`{id}`").alias("id"), hashed.alias("md5"))
+    groups = _grouped(docs.select(f"`{id}`", f"`{text}`", row.alias("__row")), text, id, shingle, seed, radius, segments)
+    kept = groups.groupBy("__component", F.col("__row.id").isNull()).agg(F.min("__row").alias("__row")).select("__row")
+    return docs.withColumn("__row", row).join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(*(F.col(f"`{c}`") for c in docs.columns))

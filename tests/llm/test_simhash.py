@@ -61,6 +61,15 @@ def test_keep_first(spark):
     assert sorted(k for k in kept if k is not None) == sorted(want) and kept.count(None) == 2
 
 
+def test_keep_first_with_clashing_and_null_ids(spark):
+    """Different texts under one id all stay; copies go, whichever id or none they have."""
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(300)) for c in "pqrs")
+    odd = [(1, one), (7, one), (7, two), (8, two), (7, three), (None, four), (None, four), (None, four.upper()), (None, None), (None, "")]
+    kept = simhash.keep_first(spark.createDataFrame(odd, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == sorted([(1, one), (7, two), (7, three)])
+    assert sorted((r.text or "").lower() for r in kept if r.doc_id is None) == ["", four]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert simhash.simhash_components(df).count() == 0 and simhash.keep_first(df).columns == df.columns
