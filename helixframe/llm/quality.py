@@ -35,6 +35,8 @@ BITS = 11
 #: Distinct texts of either label that the scorer is fitted on, at most.
 SAMPLE = 2000
 BAD, GOOD, ABSTAIN = 0, 1, 2
+#: Words in which repetition is measured at once, so that it does not grow with a text's length.
+WINDOW = 400
 #: Weight of the good texts in the fit: in doubt a document stays.
 GOOD_SHARE = 0.7
 OWN = ("quality_score", "quality_kept")
@@ -48,7 +50,7 @@ LABELLERS = {
     "shouts": (0.01, 0.20),  # exclamation marks a word
     "repeats": (0.04, 0.20),  # words equal to the one before
     "echoes": (0.05, 0.20),  # words equal to the second before
-    "monotony": (0.75, 0.90),  # share of words seen before, of texts of fewer than 400 words
+    "monotony": (0.75, 0.90),  # share of words seen before in a window of WINDOW words, mean over the text's windows
     "rare": (0.85, 0.97),  # share of words that are not common
     "unended": (0.97, 0.995),  # words that end no sentence
 }
@@ -68,6 +70,13 @@ SHAPE[97:123] = SHAPE[128:] = 97
 SHAPE[65:91], SHAPE[48:58], SHAPE[9:14] = 65, 48, 32
 
 
+def seen_before(w: list[bytes]) -> float:
+    """Share of words seen before in their window, mean over windows that cover all words; the last one ends with the text."""
+    n = min(WINDOW, len(w))
+    starts = [*range(0, len(w) - n, n), len(w) - n]
+    return sum(1 - len(set(w[a : a + n])) / n for a in starts) / len(starts)
+
+
 def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """[row, labeller] of the labellers' statistics; NaN where a row gives none."""
     sums = {k: row_sums(t[data], offsets, 0) for k, t in (("cap", CAPITAL), ("let", LETTER), ("sym", SYMBOL), ("bar", BAR), ("shout", SHOUT), ("stop", STOP))}
@@ -77,7 +86,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
         w = raw[a:b].lower().split()
         if w:
-            words[i], again[i], seen[i] = len(w), sum(map(operator.eq, w, w[1:])), len(w) - len(set(w))
+            words[i], again[i], seen[i] = len(w), sum(map(operator.eq, w, w[1:])), seen_before(w)
             echo[i] = sum(map(operator.eq, w, w[2:]))
             common[i] = sum(map(COMMON.__contains__, w))
     size = np.maximum(1, np.diff(offsets))
@@ -90,7 +99,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
             sums["shout"] / words,
             np.where(few, np.nan, again / words),
             np.where(few, np.nan, echo / words),
-            np.where(few | (words > 400), np.nan, seen / words),
+            np.where(few, np.nan, seen),
             np.where(words < 12, np.nan, 1 - common / words),
             np.where(words < 15, np.nan, 1 - sums["stop"] / words),
         ]

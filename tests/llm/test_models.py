@@ -88,6 +88,17 @@ def test_em_recovers_accuracies():
     assert ((post[at] > 0.5) == good).mean() > 0.93
 
 
+@pytest.mark.parametrize("period", [3, 7, 30])
+def test_repetition_is_seen_at_any_length(period):
+    at = list(quality.LABELLERS).index("monotony")
+    for n in (300, 400, 401, 777, 20_000):
+        text = b" ".join(b"word%d" % (i % period) for i in range(n))
+        fresh = b" ".join(b"word%d" % i for i in range(n))
+        stats = quality.statistics(np.frombuffer(text + fresh, np.uint8), np.array([0, len(text), len(text) + len(fresh)]))
+        assert quality.votes(stats)[:, at].tolist() == [quality.BAD, quality.GOOD]
+        assert abs(stats[0, at] - (1 - period / min(n, quality.WINDOW))) < 1e-9 and abs(stats[1, at]) < 1e-9
+
+
 def test_quality_edge_cases(spark, docs):
     junk = "".join("WORD!! ***" for _ in range(9000))
     rows = [(-1, None), (-2, ""), (-3, " \n"), (-4, junk), (-4, junk)]
