@@ -47,6 +47,14 @@ def release(df: DataFrame | None) -> None:
         where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name for a helper column that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
     """Prepare a session for Python operators: bound their Arrow batches where it leaves Spark's defaults, and send the package.
 
