@@ -1,21 +1,24 @@
 """Byte-level BPE encoding and decoding over padded numpy matrices.
 
 Texts are split into pre-tokens.  Distinct pre-tokens that are not in the vocabulary
-are bucketed by length into padded matrices of token ids.  In each round every row
-merges its leftmost pair of minimum rank; a row without mergeable pairs leaves the
-matrix.  Ranks of pairs come from an open-addressing hash table in numpy arrays, and
-only the two pairs beside a merge are looked up again.
+are bucketed by length into padded matrices of token ids, one pre-token a column.  In
+each round every pre-token merges its leftmost pair of minimum rank; one without
+mergeable pairs leaves the matrix, and the matrix is compacted.  Ranks of pairs come from
+an open-addressing hash table in numpy arrays, and only the two pairs beside a merge are
+looked up again.  A pre-token of more than ``LONG`` bytes has a matrix of its own, where a
+round merges the leftmost pair of minimum rank together with the later pairs of that rank,
+up to one whose merge makes a pair of the same or a lower rank, which then comes next.
 
 Defined results for unusual input: null text is encoded as an empty one, to an empty
 list; texts of any length are encoded whole; repeated rows give repeated results; an
 empty table gives an empty table; a result column takes the place of an input column
-of the same name; decoding null ids gives empty bytes, and unknown ids raise.
+of the same name; decoding null ids gives empty bytes, and unknown or null ids in a
+list raise.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -24,17 +27,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.pretokens import slices, splitter
+from helixframe.llm.pretokens import blocks, factorise, ragged
 from helixframe.runtime import bound_batches
 
 #: Rank of a pair that does not merge.
 NEVER = np.int32(2**31 - 1)
-#: Cells of a matrix; rows beyond it wait for the next matrix.
-CELLS = 1 << 20
-#: Pre-tokens of more bytes are merged with a heap: rounds of whole-row scans would take quadratic time.
+#: Cells of a matrix; pre-tokens beyond it wait for the next matrix.
+CELLS = 1 << 18
+#: Pre-tokens of more bytes are merged one at a time.
 LONG = 2048
-#: Pre-tokens whose ids a worker remembers.
+#: Pre-tokens of one generation that a worker remembers; it keeps two, and a use renews.
 REMEMBERED = 200_000
+#: Pre-tokens of more bytes are not remembered.
+REMEMBERED_BYTES = 64
+#: Ids that are decoded at once.
+DECODED = 1 << 18
 
 
 class PairTable:
@@ -88,99 +95,128 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.split = splitter(pattern)
+        self.pattern = pattern
         self.pairs = PairTable(self.ranks)
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.tokens = {v: k for k, v in self.ranks.items()}
+        self.byte_pairs = self.pairs.find(np.repeat(self.byte, 256), np.tile(self.byte, 256))
+        by_id = sorted((v, k) for k, v in self.ranks.items())
+        self.token_bytes = np.frombuffer(b"".join(k for _, k in by_id), np.uint8)
+        size = np.fromiter((len(k) for _, k in by_id), np.int64, len(by_id))
+        ids = np.fromiter((v for v, _ in by_id), np.int64, len(by_id))
+        self.token_len, self.token_at = np.full(int(self.pairs.base), -1, np.int64), np.zeros(int(self.pairs.base), np.int64)
+        self.token_len[ids], self.token_at[ids] = size, np.cumsum(size) - size
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces (none empty), each merged on its own."""
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces (none empty), each merged on its own, as little-endian int32."""
         out: list = [None] * len(pieces)
         buckets: dict[int, list[int]] = {}
         for i, x in enumerate(pieces):
             if (whole := self.ranks.get(x)) is not None:
-                out[i] = np.array([whole], np.int32)
+                out[i] = whole.to_bytes(4, "little")
             elif len(x) > LONG:
                 out[i] = self._merge_long(x)
             else:
-                buckets.setdefault((len(x) + 3) // 4 * 4, []).append(i)
+                buckets.setdefault((len(x) + 1) // 2 * 2, []).append(i)
         for width, rows in sorted(buckets.items()):
             for k in range(0, len(rows), step := max(1, CELLS // width)):
                 self._merge_matrix(pieces, rows[k : k + step], width, out)
         return out
 
     def _merge_matrix(self, pieces: list[bytes], rows: list[int], width: int, out: list) -> None:
-        raw = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in rows), np.uint8).reshape(len(rows), width)
-        lengths = np.array([len(pieces[i]) for i in rows])
-        ids = np.where(np.arange(width) < lengths[:, None], self.byte[raw], np.int32(-1))
-        rank = self.pairs.find(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(rows), width - 1)
+        raw = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in rows), np.uint8).reshape(len(rows), width).T.copy()
+        lengths = np.fromiter((len(pieces[i]) for i in rows), np.int64, len(rows))
+        place = np.arange(width)[:, None]
+        ids = np.where(place < lengths, self.byte[raw], np.int32(-1))
+        # A pair's cell holds rank * width + place, so that the smallest is the leftmost of minimum rank.
+        never = np.int64(NEVER) * width
+        pairs = np.where(place[1:] < lengths, self.byte_pairs[raw[:-1].astype(np.int32) * 256 + raw[1:]].astype(np.int64) * width + place[:-1], never)
         own = np.array(rows)
-        while len(own):
-            n = len(own)
-            at = rank.argmin(1) if rank.shape[1] else np.zeros(n, np.int64)
-            best = rank[np.arange(n), at] if rank.shape[1] else np.full(n, NEVER)
-            done = best == NEVER
+        while True:
+            best = pairs.min(0) if len(pairs) else np.full(len(own), never)
+            done = best >= never - width
             if done.any():
-                for i, row in zip(own[done].tolist(), ids[done], strict=True):
-                    out[i] = row[row >= 0]
-                own, ids, rank, at, best = own[~done], ids[~done], rank[~done], at[~done], best[~done]
-                if not len(own):
+                left = ids[:, done].T
+                full = left >= 0
+                flat, ends = left[full].astype("<i4").tobytes(), np.cumsum(full.sum(1)).tolist()
+                a = 0
+                for i, b in zip(own[done].tolist(), ends, strict=True):
+                    out[i] = flat[4 * a : 4 * b]
+                    a = b
+                if done.all():
                     return
-                n = len(own)
-            all_ = np.arange(n)
-            # Each row loses one id and one pair: the compacted matrix is one column narrower.
-            keep = np.ones(ids.shape, bool)
-            keep[all_, at + 1] = False
-            ids[all_, at] = best
-            ids = ids[keep].reshape(n, -1)
-            keep = np.ones(rank.shape, bool)
-            keep[all_, at] = False
-            rank = rank[keep].reshape(n, -1)
-            left = np.flatnonzero(at > 0)
-            rank[left, at[left] - 1] = self.pairs.find(ids[left, at[left] - 1], ids[left, at[left]])
-            right = np.flatnonzero(at < rank.shape[1])
-            rank[right, at[right]] = self.pairs.find(ids[right, at[right]], ids[right, at[right] + 1])
-
-    def _merge_long(self, piece: bytes) -> np.ndarray:
-        ids = self.byte[np.frombuffer(piece, np.uint8)].tolist()
-        n = len(ids)
-        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        first = self.pairs.find(np.array(ids[:-1], np.int32), np.array(ids[1:], np.int32)).tolist()
-        heap = [(r, i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r != NEVER]
-        heapq.heapify(heap)
-        memo: dict[tuple[int, int], int] = {}
-
-        def rank_of(a: int, b: int) -> int:
-            if (found := memo.get((a, b))) is None:
-                found = memo[a, b] = int(self.pairs.find(np.array([a], np.int32), np.array([b], np.int32))[0])
-            return found
-
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != a or j < 0 or ids[j] != b:
-                continue  # one of the two was merged meanwhile
-            ids[i], ids[j] = r, -1
-            after[i] = after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-                if (x := rank_of(r, ids[after[j]])) != NEVER:
-                    heapq.heappush(heap, (x, i, r, ids[after[j]]))
-            if (p := before[i]) >= 0 and (x := rank_of(ids[p], r)) != NEVER:
-                heapq.heappush(heap, (x, p, ids[p], r))
-        return np.array([x for x in ids if x >= 0], np.int32)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian int32."""
-        split = [self.split(x) for x in texts]
-        new = [x for x in set().union(*split) if x not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set().union(*split))
-        for x, ids in zip(new, self.merge([x.encode() for x in new]), strict=True):
-            self.known[x] = ids.tobytes()
-        return [b"".join(map(self.known.__getitem__, x)) for x in split]
+                live = ~done
+                own, ids, pairs, best = own[live], ids[:, live], pairs[:, live], best[live]
+            rank, at = np.divmod(best, width)
+            rank, all_ = rank.astype(np.int32), np.arange(len(own))
+            # Each column loses one id and one pair.
+            ids = np.where(place[: len(ids) - 1] <= at, ids[:-1], ids[1:])
+            ids[at, all_] = rank
+            pairs = np.where(place[: len(pairs) - 1] < at, pairs[:-1], pairs[1:] - 1)
+            for hit, p in ((np.flatnonzero(at > 0), at - 1), (np.flatnonzero(at < len(pairs)), at)):
+                p = p[hit]
+                pairs[p, hit] = self.pairs.find(ids[p, hit], ids[p + 1, hit]).astype(np.int64) * width + p
+
+    def _merge_long(self, piece: bytes) -> bytes:
+        raw = np.frombuffer(piece, np.uint8).astype(np.int32)
+        ids, pairs = self.byte[raw], self.byte_pairs[raw[:-1] * 256 + raw[1:]]
+        while len(pairs) and (best := pairs.min()) != NEVER:
+            at = np.flatnonzero(pairs == best)
+            # Of pairs that share a token, every second one from the left.
+            new = np.append(True, np.diff(at) > 1)
+            at = at[(at - at[new][np.cumsum(new) - 1]) % 2 == 0]
+            # Later ones wait where a merge makes a pair that comes before them.
+            before = np.where(np.append(False, np.diff(at) == 2), best, ids[at - 1])
+            before[at == 0] = -1
+            after = np.append(ids, np.int32(-1))[at + 2]
+            made = np.minimum(self.pairs.find(before, np.full(len(at), best)), self.pairs.find(np.full(len(at), best), after))
+            at = at[: int(np.argmax(made <= best)) + 1] if (made <= best).any() else at
+            ids[at] = best
+            ids, pairs = np.delete(ids, at + 1), np.delete(pairs, at)
+            at = at - np.arange(len(at))
+            at = np.concatenate((at - 1, at))
+            at = at[(at >= 0) & (at < len(pairs))]
+            pairs[at] = self.pairs.find(ids[at], ids[at + 1])
+        return ids.astype("<i4").tobytes()
+
+    def ids_of(self, names: list[str]) -> list[bytes]:
+        """Ids of pre-tokens as little-endian int32; recent ones are remembered."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        out = [known.get(x) for x in names]
+        new = []
+        for i, x in enumerate(out):
+            if x is None:
+                if (was := older.get(names[i])) is None:
+                    new.append(i)
+                else:
+                    out[i] = known[names[i]] = was
+        raw = [names[i].encode() for i in new]
+        for i, b, ids in zip(new, raw, self.merge(raw), strict=True):
+            out[i] = ids
+            if len(b) <= REMEMBERED_BYTES:
+                known[names[i]] = ids
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, how many each has); texts are not null."""
+        names, codes, ends = factorise(texts, self.pattern)
+        found = self.ids_of(names)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<i4")
+        lengths = size[codes]
+        total = np.concatenate(([0], np.cumsum(lengths)))
+        return flat[ragged((np.cumsum(size) - size)[codes], lengths)], np.diff(total[ends])
+
+    def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """(bytes of all ids in order, where each id's bytes end)."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.token_len) or (self.token_len[ids] < 0).any()):
+            raise ValueError("unknown token id")
+        size = self.token_len[ids]
+        parts = (self.token_bytes[ragged(self.token_at[ids[k : k + DECODED]], size[k : k + DECODED])].tobytes() for k in range(0, len(ids), DECODED))
+        return b"".join(parts), np.cumsum(size)
 
 
 @lru_cache(2)
@@ -194,9 +230,9 @@ def encode(df: DataFrame, ranks: str, text: str = "text", out: str = "ids", patt
 
     @F.arrow_udf("array<int>")
     def of(texts: pa.Array) -> pa.Array:
-        found = [x for part in slices(texts) for x in codec(ranks, pattern).encode(part)]
-        ends = np.cumsum([0, *map(len, found)]) // 4
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+        found = [codec(ranks, pattern).encode(part) for part in blocks(texts)]
+        ends = np.cumsum(np.concatenate([[0], *(n for _, n in found)]))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *(ids for ids, _ in found)])))
 
     return df.withColumn(out, of(F.col(f"`{text}`")))
 
@@ -207,7 +243,11 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded", pa
 
     @F.arrow_udf("binary")
     def of(lists: pa.Array) -> pa.Array:
-        tokens = codec(ranks, pattern).tokens.__getitem__
-        return pa.array((b"".join(map(tokens, x.values.to_numpy().tolist())) if x.is_valid else b"" for x in lists), pa.binary(), size=len(lists))
+        flat, n = lists.flatten(), np.array([len(x) if x.is_valid else 0 for x in lists], np.int64)
+        if flat.null_count:
+            raise ValueError("null token id")
+        data, ends = codec(ranks, pattern).decode(flat.to_numpy())
+        ends = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n)))]
+        return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
 
     return df.withColumn(out, of(F.col(f"`{ids}`")))
