@@ -96,10 +96,9 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint").alias("n_bytes"))
     counted = tokencount.count_tokens(docs, TOKENIZER)
-    return counted.select("doc_id", n_bytes, "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
