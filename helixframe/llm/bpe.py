@@ -234,7 +234,8 @@ def encode(df: DataFrame, ranks: str, text: str = "text", out: str = "ids", patt
         ends = np.cumsum(np.concatenate([[0], *(n for _, n in found)]))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *(ids for ids, _ in found)])))
 
-    return df.withColumn(out, of(F.col(f"`{text}`")))
+    # So marked, it is computed once, however many columns (or a later decode) use its result.
+    return df.withColumn(out, of.asNondeterministic()(F.col(f"`{text}`")))
 
 
 def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
