@@ -1,9 +1,10 @@
-"""Mega-reads: overlap graphs of aligned paths on a read, their longest paths, and tilings."""
+"""Mega-reads: overlap graphs of aligned paths on a read, their heaviest chains, and tilings."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -11,20 +12,12 @@ from helixframe.operators import tiling
 from helixframe.operators.grouped import per_group
 
 
-def path_overlap(a: list[str], b: list[str]) -> int:
-    """The largest m with the last m of ``a`` the first m of ``b``; m less than both sizes, 0 if none."""
-    return next((m for m in range(min(len(a), len(b)) - 1, 0, -1) if a[-m:] == b[:m]), 0)
-
+#: Pairs of nodes that are looked at together.
+CELLS = 1 << 20
 
-def trim_to_matched(path: list[str], seeds: list[int]) -> tuple[int, int]:
-    """(unitigs to drop at the start, at the end): ends without seeds of their own; ``seeds`` has 2u - 1 counts."""
-    own = [i for i, n in enumerate(seeds[::2]) if n > 0]
-    return (own[0], len(path) - 1 - own[-1]) if own else (0, 0)
 
-
-@dataclass
-class Node:
-    """An aligned path on a read, and the best chain of overlapping paths that ends in it."""
+class Node(NamedTuple):
+    """An aligned path on a read; ``info`` has seeds or bases of its unitigs and, between them, of their overlaps."""
 
     path: list[str]
     imp_s: float
@@ -37,104 +30,161 @@ class Node:
     err: float
     score: int
     info: list[int]
-    best: int = 0
-    back: int = -1
-    shared: int = 0
-    start: int = -1
-    ends: bool = True
-    part: int = 0
 
 
-def overlap_graph(nodes: list[Node], lengths: dict[str, int], unitig_k: int, read_len: int, play: float = 1.3, errors: float = 3.0) -> list[tuple[int, int, int]]:
-    """Edges (i, j, unitigs shared), with nodes in order of implied span; fills best chains and components.
+class Edge(NamedTuple):
+    """The last ``shared`` unitigs of node ``src`` are the first of node ``dst``; ``common`` is their part of the score."""
+
+    src: int
+    dst: int
+    shared: int
+    common: int
+
+
+class Chains(NamedTuple):
+    """For each node the heaviest chain that ends in it: its score, the edge it came by (-1: none) and its first node."""
+
+    score: list[int]
+    via: list[int]
+    start: list[int]
+
+
+def path_overlap(a: list[str], b: list[str]) -> int:
+    """The largest m with the last m of ``a`` the first m of ``b``; m less than both sizes, 0 if none."""
+    return next((m for m in range(min(len(a), len(b)) - 1, 0, -1) if a[-m:] == b[:m]), 0)
+
+
+def spelled(path: list[str], lengths: dict[str, int], unitig_k: int) -> int:
+    """Bases of a path, whose unitigs overlap by ``unitig_k`` - 1."""
+    return sum(lengths[u[:-1]] for u in path) - max(0, len(path) - 1) * (unitig_k - 1)
 
-    Node j may follow i if the paths dovetail and the shared bases agree with the implied
-    positions up to ``play`` and the fits' errors.  The search from i ends where positions
-    no longer overlap by a word.
+
+def near_pairs(nodes: list[Node], unitig_k: int, read_len: int, play: float, errors: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (i, j), i < j, whose implied positions allow an overlap; nodes are in order of implied span.
+
+    Node i must end inside the read and not a word beyond j, and j must start inside it.  The
+    first such j with too little room for a word, errors allowed for, ends the band of i.
     """
-    nodes.sort(key=lambda n: (n.imp_s, n.imp_e))
-    for i, n in enumerate(nodes):
-        n.best, n.start, n.part = n.score, i, i
-    edges = []
-    for i, x in enumerate(nodes):
-        if x.imp_e >= read_len:
-            continue
-        for j in range(i + 1, len(nodes)):
-            y = nodes[j]
-            if y.imp_s <= 1 or x.imp_e > y.imp_e + unitig_k:
-                continue
-            room, slip = x.imp_e - y.imp_s, errors * (x.err + y.err)
-            if room * play + slip < unitig_k:
-                break
-            m = 0 if x.path == y.path else path_overlap(x.path, y.path)
-            if not m:
-                continue
-            bases = sum(lengths[u[:-1]] for u in y.path[:m]) - (m - 1) * (unitig_k - 1)
-            if bases > play * room + slip or room > play * (bases + slip):
-                continue
-            edges.append((i, j, m))
-            x.ends = False
-            common = sum(y.info[2 * u] for u in range(m)) - sum(y.info[2 * u - 1] for u in range(1, m)) if y.info else 0
-            total = x.best + y.score - common
-            later = y.back >= 0 and nodes[x.start].imp_s > nodes[y.start].imp_s
-            if total > y.best or (total == y.best and (y.back < 0 or later)):
-                y.best, y.back, y.shared, y.start = total, i, m, x.start
-            _join(nodes, i, j)
-    return edges
-
-
-def _join(nodes: list[Node], i: int, j: int) -> None:
-    def top(k: int) -> int:
-        while nodes[k].part != k:
-            nodes[k].part = nodes[nodes[k].part].part
-            k = nodes[k].part
-        return k
-
-    a, b = sorted((top(i), top(j)))
-    nodes[b].part = a
-
-
-def merged_path(nodes: list[Node], end: int) -> list[str]:
-    """The path along the best chain that ends in node ``end``."""
-    chain = []
-    while end >= 0:
-        chain.append(end)
-        end = nodes[end].back
-    out: list[str] = []
-    for i in reversed(chain):
-        out += nodes[i].path[nodes[i].shared if out else 0 :]
+    s, e, err = (np.array([x[f] for x in nodes], float) for f in (1, 2, 8))
+    found = [(np.empty(0, int), np.empty(0, int))]
+    for a in range(0, len(nodes), step := max(1, CELLS // max(1, len(nodes)))):
+        own = np.arange(a, min(len(nodes), a + step))[:, None]
+        met = (np.arange(len(nodes)) > own) & (e[own] < read_len) & (s > 1) & (e[own] <= e + unitig_k)
+        short = met & ((e[own] - s) * play + errors * (err[own] + err) < unitig_k)
+        i, j = np.nonzero(met & ~np.logical_or.accumulate(short, axis=1))
+        found.append((i + a, j))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def overlap_edges(nodes: list[Node], lengths: dict[str, int], unitig_k: int, read_len: int, play: float = 1.3, errors: float = 3.0) -> list[Edge]:
+    """Edges between nodes that dovetail with about as many bases as their implied positions overlap by; sorted."""
+    i, j = near_pairs(nodes, unitig_k, read_len, play, errors)
+    shared = np.array([0 if nodes[a].path == nodes[b].path else path_overlap(nodes[a].path, nodes[b].path) for a, b in zip(i.tolist(), j.tolist(), strict=True)], int)
+    i, j, shared = i[shared > 0], j[shared > 0], shared[shared > 0]
+    bases = np.array([spelled(nodes[b].path[:m], lengths, unitig_k) for b, m in zip(j.tolist(), shared.tolist(), strict=True)], float)
+    room = np.array([nodes[a].imp_e - nodes[b].imp_s for a, b in zip(i.tolist(), j.tolist(), strict=True)], float)
+    slip = errors * np.array([nodes[a].err + nodes[b].err for a, b in zip(i.tolist(), j.tolist(), strict=True)], float)
+    agree = (bases <= play * room + slip) & (room <= play * (bases + slip))
+    found = zip(i[agree].tolist(), j[agree].tolist(), shared[agree].tolist(), strict=True)
+    return [Edge(a, b, m, sum(nodes[b].info[: 2 * m - 1 : 2]) - sum(nodes[b].info[1 : 2 * m - 2 : 2])) for a, b, m in found]
+
+
+def heaviest_chains(nodes: list[Node], edges: list[Edge]) -> Chains:
+    """The longest-path pass over an acyclic edge list; equal scores: an edge rather than none, then the later start."""
+    into: dict[int, list[int]] = {}
+    for k, x in enumerate(edges):
+        into.setdefault(x.dst, []).append(k)
+    out = Chains([n.score for n in nodes], [-1] * len(nodes), list(range(len(nodes))))
+    for j in sorted(into):
+        total, _, k = max(((out.score[edges[k].src] + nodes[j].score - edges[k].common, nodes[out.start[edges[k].src]].imp_s, -k) for k in into[j]))
+        if total >= nodes[j].score:
+            out.score[j], out.via[j], out.start[j] = total, -k, out.start[edges[-k].src]
     return out
 
 
-def mega_reads(nodes: list[Node], lengths: dict[str, int], unitig_k: int, read_len: int, density: float = 0.029, least: int = 100, how: str = "greedy", play: float = 1.3, errors: float = 3.0) -> list[dict]:
-    """The best chain of each component (score, then density), tiled, in order of implied position."""
-    overlap_graph(nodes, lengths, unitig_k, read_len, play, errors)
-    best: dict[int, dict] = {}
+def components(n: int, edges: list[Edge]) -> np.ndarray:
+    """For each node the smallest node of its component."""
+    part = np.arange(n)
+    a, b = np.array([x.src for x in edges], int), np.array([x.dst for x in edges], int)
+    while True:
+        new = part.copy()
+        np.minimum.at(new, a, part[b])
+        np.minimum.at(new, b, part[a])
+        new = new[new]
+        if (new == part).all():
+            return part
+        part = new
+
+
+def chain_path(nodes: list[Node], edges: list[Edge], chains: Chains, end: int) -> list[str]:
+    """The unitigs along the heaviest chain that ends in node ``end``."""
+    parts = []
+    while (k := chains.via[end]) >= 0:
+        parts.append(nodes[end].path[edges[k].shared :])
+        end = edges[k].src
+    return sum(reversed(parts), list(nodes[end].path))
+
+
+def unmatched(info: list[int]) -> int:
+    """Unitigs without seeds at the front of a path whose unitigs have the counts ``info[::2]``."""
+    return next((u for u, n in enumerate(info[::2]) if n), (len(info) + 1) // 2)
+
+
+def trim(first: Node, last: Node, path: list[str], lengths: dict[str, int], unitig_k: int) -> tuple[list[str], int, int]:
+    """(path without the unmatched unitigs that reach out of the read, bases cut at its start, at its end).
+
+    The start is cut if the first node begins before the read, the end if the last one
+    ends beyond the length of its own path.  A node without any seed is not cut.
+    """
+    head, tail = unmatched(first.info), unmatched(last.info[::-1])
+    head = head if first.imp_s < 1 and head < len(first.path) else 0
+    tail = tail if last.imp_e > last.q_len and tail < len(last.path) else 0
+    if head + tail >= len(path):
+        return path, 0, 0
+    cut = lambda part: sum(lengths[u[:-1]] - unitig_k + 1 for u in part)
+    return path[head : len(path) - tail], cut(path[:head]), cut(path[len(path) - tail :])
+
+
+def mega_reads(nodes: list[Node], lengths: dict[str, int], unitig_k: int, read_len: int, density: float = 0.029, least: int = 100, how: str = "greedy", play: float = 1.3, errors: float = 3.0, trimmed: bool = False, at_most: int | None = None) -> list[dict]:
+    """The best chain of each component (score, then density), tiled, in order of implied position.
+
+    ``trimmed`` cuts unmatched unitigs off at both ends (see ``trim``); ``at_most`` bounds the tiles.
+    """
+    nodes = sorted(nodes, key=lambda n: (n.imp_s, n.imp_e))
+    edges = overlap_edges(nodes, lengths, unitig_k, read_len, play, errors)
+    chains, part = heaviest_chains(nodes, edges), components(len(nodes), edges)
+    inner = {x.src for x in edges}
+    best: dict[int, tuple] = {}
     for i, n in enumerate(nodes):
-        first = nodes[n.start]
-        a, b = max(0.5, first.imp_s), min(read_len + 0.5, n.imp_e)
-        dense = n.best / (b - a) if b > a else 0.0
-        top = i
-        while nodes[top].part != top:
-            top = nodes[top].part
-        if n.ends and dense >= density and n.r_end - first.r_start >= least:
-            now = {"imp_s": first.imp_s, "imp_e": n.imp_e, "r_start": first.r_start, "r_end": n.r_end, "score": n.best, "density": dense, "path": merged_path(nodes, i), "q_start": first.q_start, "tail": n.q_len - n.q_end}
-            if top not in best or (now["score"], now["density"]) > (best[top]["score"], best[top]["density"]):
-                best[top] = now
-    found = list(best.values())
+        a = nodes[chains.start[i]].r_start
+        dense = chains.score[i] / max(1e-9, min(read_len + 0.5, n.r_end) - max(0.5, a))
+        if i not in inner and dense >= density and n.r_end - a >= least:
+            best[part[i]] = max(best.get(part[i], (-1,)), (chains.score[i], dense, -i))
+    found = []
+    for score, dense, i in best.values():
+        first, last, path = nodes[chains.start[-i]], nodes[-i], chain_path(nodes, edges, chains, -i)
+        front = back = 0
+        if trimmed:
+            path, front, back = trim(first, last, path, lengths, unitig_k)
+        slope = [(n.imp_e - n.imp_s) / max(1, n.q_len - 1) for n in (first, last)]
+        size = spelled(path, lengths, unitig_k)
+        found.append(
+            {
+                "imp_s": first.imp_s + slope[0] * front,
+                "imp_e": last.imp_e - slope[1] * back,
+                "r_start": first.r_start,
+                "r_end": last.r_end,
+                "q_start": first.q_start - front,
+                "q_end": size + back - (last.q_len - last.q_end),
+                "score": score,
+                "density": dense,
+                "path": "_".join(path),
+                "path_len": size,
+            }
+        )
     spans = [(float(x["r_start"]), float(x["r_end"])) for x in found]
-    pick = range(len(found))
-    if how == "greedy":
-        pick = tiling.greedy(spans, [x["score"] for x in found], unitig_k, play)
-    elif how == "weighted":
-        pick = tiling.weighted(spans, [x["density"] for x in found], unitig_k, play)
-    elif how == "maximal":
-        pick = tiling.maximal(spans, [x["score"] for x in found], unitig_k, play)
-    out = sorted((found[i] for i in pick), key=lambda x: (x["imp_s"], x["imp_e"]))
-    for x in out:
-        n = sum(lengths[u[:-1]] for u in x["path"]) - (len(x["path"]) - 1) * (unitig_k - 1)
-        x["q_end"], x["path_len"], x["path"] = n - x.pop("tail"), n, "_".join(x["path"])
-    return out
+    pick = tiling.choose(how, spans, [x["density"] if how == "weighted" else x["score"] for x in found], unitig_k, play, at_most)
+    return sorted((found[i] for i in pick), key=lambda x: (x["imp_s"], x["imp_e"]))
 
 
 SCHEMA = "read long, imp_s double, imp_e double, r_start int, r_end int, q_start int, q_end int, score int, density double, path string, path_len int"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,36 +38,48 @@ def greedy(spans: list[tuple[float, float]], weights: list[float], k: int, play:
     return out
 
 
-def weighted(spans: list[tuple[float, float]], density: list[float], k: int, play: float = 1.3) -> list[int]:
+def weighted(spans: list[tuple[float, float]], density: list[float], k: int, play: float = 1.3, at_most: int | None = None) -> list[int]:
     """As ``greedy``, by squared density times length."""
-    return greedy(spans, [d * d * (b - a + 1) for d, (a, b) in zip(density, spans, strict=True)], k, play)
+    return greedy(spans, [d * d * (b - a + 1) for d, (a, b) in zip(density, spans, strict=True)], k, play, at_most)
+
+
+def _links(link: dict[int, int], at: int) -> Iterator[int]:
+    while at >= 0:
+        yield at
+        at = link[at]
 
 
 def maximal(spans: list[tuple[float, float]], scores: list[float], k: int, play: float = 1.3) -> list[int]:
     """Indices of a chain of spans with the largest total score, in order; neighbours overlap by at most k play.
 
-    Best totals are kept by increasing end and strictly increasing score; a span extends the
-    best total that ends before its own start plus the slack, and not after its own end,
-    skipping ones that start no earlier than itself.
+    Take-or-skip over the spans in order of end.  What a span may follow is the best chain
+    among those that end by its own start plus the slack, and not after its own end, less any
+    last spans of that chain that start no earlier than itself.
     """
-    best: list[dict] = []
-    for i in sorted(range(len(spans)), key=lambda i: (spans[i][1], i)):
+    order = sorted(range(len(spans)), key=lambda i: (spans[i][1], i))
+    ends = [spans[i][1] for i in order]
+    value, link = {-1: 0.0}, {}
+    top = [-1]  # the last span of the best chain among the first 0, 1, ... spans
+    for n, i in enumerate(order):
         a, b = spans[i]
-        at = bisect_right([x["end"] for x in best], min(a + k * play, b)) - 1
-        while at >= 0 and spans[best[at]["i"]][0] >= a:
-            at = best[at]["from"]
-        total = scores[i] + (best[at]["total"] if at >= 0 else 0)
-        if not best or total > best[-1]["total"]:
-            best.append({"i": i, "end": b, "total": total, "from": at})
-    out, at = [], len(best) - 1
-    while at >= 0:
-        out.append(best[at]["i"])
-        at = best[at]["from"]
-    return out[::-1]
+        before = top[min(n, bisect_right(ends, min(a + k * play, b)))]
+        link[i] = next((j for j in _links(link, before) if spans[j][0] < a), -1)
+        value[i] = scores[i] + value[link[i]]
+        top.append(i if top[n] < 0 or value[i] > value[top[n]] else top[n])
+    return [*_links(link, top[-1])][::-1]
+
+
+def choose(how: str, spans: list[tuple[float, float]], values: list[float], k: int, play: float = 1.3, at_most: int | None = None) -> list[int]:
+    """Indices by greedy, weighted or maximal tiling, or all (none); ``values`` are scores, for weighted densities."""
+    if how == "maximal":
+        return maximal(spans, values, k, play)[:at_most]
+    if how == "none":
+        return list(range(len(spans)))
+    return {"greedy": greedy, "weighted": weighted}[how](spans, values, k, play, at_most)
 
 
-def tile(rows: DataFrame, how: str = "greedy", key: str = "key", k: int = 17, play: float = 1.3) -> DataFrame:
-    """Rows (key, id) chosen among spans (key, id, a, b, score): greedy, weighted or maximal; ``none`` keeps all."""
+def tile(rows: DataFrame, how: str = "greedy", key: str = "key", k: int = 17, play: float = 1.3, at_most: int | None = None) -> DataFrame:
+    """Rows (key, id) chosen among spans (key, id, a, b, score), at most ``at_most`` a key: greedy, weighted or maximal; ``none`` keeps all."""
     if how == "none":
         return rows.select(key, "id")
     kind = dict(rows.dtypes)[key]
@@ -74,7 +87,6 @@ def tile(rows: DataFrame, how: str = "greedy", key: str = "key", k: int = 17, pl
     def one(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values(["a", "b", "id"]).reset_index(drop=True)
         spans, scores = list(zip(df.a.tolist(), df.b.tolist(), strict=True)), df.score.tolist()
-        pick = {"greedy": greedy, "weighted": weighted, "maximal": maximal}[how](spans, scores, k, play)
-        return df.iloc[sorted(pick)][[key, "id"]]
+        return df.iloc[sorted(choose(how, spans, scores, k, play, at_most))][[key, "id"]]
 
     return per_group(rows.select(key, "id", "a", "b", "score"), [key], one, f"{key} {kind}, id long")

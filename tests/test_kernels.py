@@ -21,6 +21,7 @@ def test_increasing():
         assert len(at) == brute_lis(v) and all(v[a] < v[b] and a < b for a, b in zip(at, at[1:]))
 
 
+#: The vectors of the next test and of test_unitig_counts are fixed values: chains and counts must come out like this.
 HOW = {"a": 5, "b": 1, "cap": 1e9}
 
 
@@ -63,29 +64,105 @@ def test_unitig_counts():
     assert count([166, 167], many) == ([], [])
 
 
-def test_tilings():
+def spans_of(rng, n, reach, shortest, longest):
+    return [(float(a), float(a + rng.randrange(shortest, longest))) for a in (rng.randrange(reach) for _ in range(n))]
+
+
+def test_greedy_tiling():
     rng = random.Random(7)
     for _ in range(60):
-        spans = [(float(a), float(a + rng.randrange(20, 200))) for a in (rng.randrange(1000) for _ in range(60))]
+        spans = spans_of(rng, 60, 1000, 20, 200)
         scores = [b - a for a, b in spans]
-        g, m = tiling.greedy(spans, scores, 10), tiling.maximal(spans, scores, 10)
-        assert len(set(g)) == len(g) and sum(scores[i] for i in m) > 0
+        g = tiling.greedy(spans, scores, 10)
+        assert len(set(g)) == len(g) and tiling.greedy(spans, scores, 10, at_most=3) == g[:3]
+        # Every span left out is contained in a heavier chosen one, or overlaps what they cover by too much.
+        for i in set(range(60)) - set(g):
+            a, b = spans[i]
+            before = sorted(spans[j] for j in g if (-scores[j], j) < (-scores[i], i))
+            pieces = []
+            for x, y in before:
+                if pieces and x <= pieces[-1][1]:
+                    pieces[-1][1] = max(y, pieces[-1][1])
+                else:
+                    pieces.append([x, y])
+            limit = max(13.0, (b - a) * 0.4)
+            assert any(x <= a and b <= y for x, y in before) or any(min(b, y) - max(a, x) >= limit for x, y in pieces)
+    assert tiling.greedy([(0, 10), (2, 8), (20, 30)], [5, 9, 1], 1) == [1, 2]
+
+
+def test_maximal_tiling_is_the_optimum():
+    """Against every chain of spans that are longer than the slack: starts and ends grow, neighbours overlap by at most k play."""
+    rng = random.Random(11)
+    for _ in range(150):
+        spans = spans_of(rng, 10, 200, 15, 60)
+        scores = [rng.randrange(1, 30) for _ in spans]
+        best = 0
+        order = sorted(range(10), key=lambda i: spans[i][1])
+
+        def chains(at, last, total):
+            nonlocal best
+            best = max(best, total)
+            for n in range(at, 10):
+                a, b = spans[order[n]]
+                if last is None or (last[0] < a and last[1] <= a + 13):
+                    chains(n + 1, (a, b), total + scores[order[n]])
+
+        chains(0, None, 0)
+        m = tiling.maximal(spans, scores, 10)
+        assert sum(scores[i] for i in m) == best
+        assert sum(scores[i] for i in tiling.greedy(spans, scores, 10, 1e9)) > 0
         for x, y in zip(m, m[1:]):
             assert spans[x][0] < spans[y][0] and spans[x][1] <= spans[y][0] + 13
-        assert tiling.greedy(spans, scores, 10, at_most=3) == g[:3]
-    assert tiling.greedy([(0, 10), (2, 8), (20, 30)], [5, 9, 1], 1) == [1, 2]
-    assert tiling.maximal([], [], 5) == []
+    assert tiling.maximal([], [], 5) == [] == tiling.choose("none", [], [], 5)
+    assert len(tiling.maximal([(i, i + 30.0) for i in range(0, 90_000, 30)], [1] * 3000, 5)) == 3000
+
+
+def node(path, s, e=None, info=(50, 20, 50), q_len=80):
+    path = path.split("_")
+    return megareads.Node(path, s, s + q_len - 1 if e is None else e, s, s + q_len - 1, 1, q_len, q_len, 0.0, 80, list(info))
 
 
 def test_mega_read_follows_the_path():
-    lengths = {"1": 50, "2": 50, "3": 50}
-    node = lambda path, s: megareads.Node(path.split("_"), s, s + 79, s, s + 79, 1, 80, 80, 0.0, 80, [50, 20, 50])
-    out = megareads.mega_reads([node("1F_2R", 10), node("2R_3F", 40), node("7F", 300)], lengths | {"7": 80}, 21, 400, least=50)
+    lengths = {"1": 50, "2": 50, "3": 50, "7": 80}
+    out = megareads.mega_reads([node("1F_2R", 10), node("2R_3F", 40), node("7F", 300)], lengths, 21, 400, least=50)
     assert out[0]["path"] == "1F_2R_3F" and out[0]["path_len"] == 110 and out[0]["score"] == 110
+    assert abs(out[0]["density"] - 110 / 109) < 1e-9
     assert [x["path"] for x in out] == ["1F_2R_3F", "7F"] and megareads.path_overlap("1F 2R 7F 1F 2R".split(), "1F 2R 3F 4R".split()) == 2
+    both = [node("1F_2R", 10), node("7F", 300)]
+    assert len(megareads.mega_reads(both, lengths, 21, 400, least=50, at_most=1)) == 1
 
 
-def test_trim_to_matched():
-    path = "1F 2F 3F 4F".split()
-    assert megareads.trim_to_matched(path, [0, 0, 3, 1, 1, 0, 0]) == (1, 1)
-    assert megareads.trim_to_matched(path, [1, 0, 0, 0, 0, 0, 2]) == (0, 0) == megareads.trim_to_matched(path, [0] * 7)
+def test_chains_are_the_heaviest():
+    """Against all walks of random overlap graphs, and components against a walk over the edges."""
+    rng = random.Random(3)
+    for _ in range(200):
+        n = rng.randrange(1, 8)
+        nodes = sorted((node("1F", rng.randrange(100)) for _ in range(n)), key=lambda x: x[1:3])
+        nodes = [x._replace(score=rng.randrange(10, 90)) for x in nodes]
+        edges = [megareads.Edge(i, j, 1, rng.randrange(0, 10)) for i in range(n) for j in range(i + 1, n) if rng.random() < 0.4]
+
+        def walks(j):
+            yield nodes[j].score
+            for x in edges:
+                if x.dst == j:
+                    yield from (w + nodes[j].score - x.common for w in walks(x.src))
+
+        assert megareads.heaviest_chains(nodes, edges).score == [max(walks(j)) for j in range(n)]
+        part = list(range(n))
+        for _ in range(n):
+            for x in edges:
+                part = [min(part[x.src], part[x.dst]) if k in (x.src, x.dst) else p for k, p in enumerate(part)]
+        assert megareads.components(n, edges).tolist() == part
+
+
+def test_trimmed_mega_reads():
+    lengths = {"1": 50, "2": 50, "3": 50, "4": 50}
+    first, last = node("1F_2F", -20, info=(0, 0, 40)), node("2F_3F_4F", 12, info=(40, 9, 30, 0, 0), q_len=110)
+    plain = megareads.mega_reads([first, last], lengths, 21, 130, least=1, density=0)
+    cut = megareads.mega_reads([first, last], lengths, 21, 130, least=1, density=0, trimmed=True)
+    assert plain[0]["path"] == "1F_2F_3F_4F" and cut[0]["path"] == "2F_3F"
+    assert (cut[0]["imp_s"], cut[0]["imp_e"]) == (plain[0]["imp_s"] + 30, plain[0]["imp_e"] - 30)
+    assert (cut[0]["path_len"], cut[0]["q_start"], cut[0]["q_end"]) == (80, plain[0]["q_start"] - 30, plain[0]["q_end"] - 30)
+    # Inside the read, and without any seeds, nothing is cut.
+    assert megareads.trim(node("1F_2F", 5, info=(0, 0, 9)), node("1F_2F", 5, 60, info=(0, 0, 9)), ["1F", "2F"], lengths, 21) == (["1F", "2F"], 0, 0)
+    assert megareads.trim(node("1F_2F", -5, info=(0, 0, 0)), node("1F_2F", -5, 300, info=(0, 0, 0)), ["1F", "2F"], lengths, 21) == (["1F", "2F"], 0, 0)
