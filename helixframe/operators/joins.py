@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.operators.kmers import BROADCAST_ROWS
+
 
 def add_sequence(rows: DataFrame, seqs: DataFrame, on: str = "name", seq: str = "seq", unknown: int = 50_000) -> DataFrame:
     """``rows`` with each name's sequence; a name without one gets ``unknown`` unknown bases."""
@@ -135,13 +137,15 @@ def translate_ids(rows: DataFrame, merged: DataFrame, contained_in: DataFrame, i
     return out.select(F.col(id), new.alias("new_id"), turned.alias("ori"), moved.alias("pos"))
 
 
-def haplotype_counts(words: DataFrame, one: DataFrame, two: DataFrame, least: int = 2) -> DataFrame:
-    """Per name, how many words are in table one only, two only, in both, and in all; words counted below ``least`` are absent."""
-    a = one.where(F.col("n") >= least).select("kmer", F.lit(True).alias("a"))
-    b = two.where(F.col("n") >= least).select("kmer", F.lit(True).alias("b"))
-    x = words.join(a, "kmer", "left").join(b, "kmer", "left")
-    has = lambda c: F.col(c).isNotNull()
-    return x.groupBy("name").agg(F.count_if(has("a") & ~has("b")).alias("p1"), F.count_if(has("b") & ~has("a")).alias("p2"), F.count_if(has("a") & has("b")).alias("shared"), F.count("*").alias("total"))
+def haplotype_counts(words: DataFrame, counts: DataFrame, least: int = 2, bound: int | None = None) -> DataFrame:
+    """Per name, how many words are in table one only, two only, in both, and in all; words counted below ``least`` are absent.
+
+    ``counts`` has (kmer, one, two); where it is known to have at most ``bound`` rows, and these are few, it is broadcast.
+    """
+    kept = counts.select("kmer", (F.col("one") >= least).alias("a"), (F.col("two") >= least).alias("b")).where("a OR b")
+    x = words.join(F.broadcast(kept) if bound is not None and bound <= BROADCAST_ROWS else kept, "kmer", "left")
+    a, b = F.coalesce("a", F.lit(False)), F.coalesce("b", F.lit(False))
+    return x.groupBy("name").agg(F.count_if(a & ~b).alias("p1"), F.count_if(b & ~a).alias("p2"), F.count_if(a & b).alias("shared"), F.count("*").alias("total"))
 
 
 def classify_haplotype(counts: DataFrame, least: int = 20, ratio: float = 1.5) -> DataFrame:

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions import sequence as S
+from helixframe.runtime import spread
 
 #: A build side up to this many rows is broadcast; beyond it the join shuffles on the word.
 BROADCAST_ROWS = 2_000_000
 #: Words that are cut from one piece of a sequence; even, so that thinning keeps odd offsets.
-PIECE = 128
+PIECE = 32
 
 
 def words(seqs: DataFrame, k: int, name: str = "name", seq: str = "seq", thin: bool = False) -> DataFrame:
@@ -18,15 +19,17 @@ def words(seqs: DataFrame, k: int, name: str = "name", seq: str = "seq", thin: b
 
     ``thin`` keeps the words at odd offsets only.
     """
-    s = F.col(seq)
+    s, size = F.col(seq), max(PIECE, k + k % 2)
     # A substring is found by walking from the string's start, so words are cut from short pieces of the sequence.
-    at = F.sequence(F.lit(1), F.length(s) - k + 1, F.lit(PIECE))
-    cut = seqs.where(F.length(s) >= k).select(F.col(name).alias("name"), s.alias("__s"), F.explode(at).alias("__a"))
-    cut = cut.select("name", "__a", F.substr(F.col("__s"), F.col("__a"), F.lit(PIECE + k - 1)).alias("__p"))
+    pieces = F.regexp_extract_all(s, F.lit(f"(?s).{{1,{size}}}"), 0)
+    ahead = lambda p, i: F.concat(p, F.coalesce(F.substr(F.get("__c", i + 1), F.lit(1), F.lit(k - 1)), F.lit("")))
+    cut = seqs.where(F.length(s) >= k).select(F.col(name).alias("name"), pieces.alias("__c"))
+    cut = spread(cut.select("name", F.posexplode(F.transform("__c", ahead)).alias("__n", "__p"))).where(F.length("__p") >= k)
     inner = F.sequence(F.lit(1), F.length("__p") - k + 1, F.lit(2 if thin else 1))
-    out = cut.select("name", "__a", "__p", F.explode(inner).alias("__i"))
-    out = out.select("name", (F.col("__a") + F.col("__i") - 1).alias("pos"), F.substr(F.col("__p"), F.col("__i"), F.lit(k)).alias("kmer"))
-    return out.where(F.col("kmer").rlike("^[ACGTacgt]+$"))
+    # Bases are tested once a piece; only in pieces with other characters is each word looked at.
+    out = cut.select("name", "__n", "__p", F.rlike("__p", F.lit("[^ACGTacgt]")).alias("__x"), F.explode(inner).alias("__i"))
+    out = out.select("name", (F.col("__n") * size + F.col("__i")).alias("pos"), F.substr(F.col("__p"), F.col("__i"), F.lit(k)).alias("kmer"), "__x")
+    return out.where(~F.col("__x") | F.col("kmer").rlike("^[ACGTacgt]+$")).select("name", "pos", "kmer")
 
 
 def words_of_lengths(seqs: DataFrame, ks: tuple[int, ...], **how) -> DataFrame:

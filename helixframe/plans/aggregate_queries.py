@@ -121,7 +121,7 @@ def polish_report(spark, sf):
 @query("A27", "S4", "D6", "Q12", "Q21", "X8", sql=f"WITH {R.PATHS}, u AS (SELECT name, unnest(string_split(path, '_')) AS u FROM paths), l AS (SELECT i AS uid, 20 + i % 7 AS len FROM generate_series(0, 49) t(i)) SELECT name, (sum(len) - (count(*) - 1) * 4)::BIGINT AS n FROM u JOIN l ON l.uid = regexp_replace(u, '[FR]', '')::INTEGER GROUP BY 1")
 def super_read_sizes(spark, sf):
     units = R.paths(spark, sf).select("name", F.explode(S.parse_path("path")).alias("u")).select("name", F.col("u.id").alias("uid"))
-    lens = units.join(F.broadcast(R.unitigs(spark, sf).limit(1000)), "uid").groupBy("name").agg(F.collect_list("len").alias("l"))
+    lens = units.join(R.unitigs(spark, sf), "uid").groupBy("name").agg(F.collect_list("len").alias("l"))
     return lens.select("name", S.path_length("l", 5).alias("n"))
 
 

@@ -138,10 +138,11 @@ _TRIO = f"{R.READS}, {R.FRAGMENTS}, {R.kmers_sql('reads', 13, 'rk')}, {R.kmers_s
 )
 def trio_classify(spark, sf):
     words = kmers.words(R.reads(spark, sf), 13)
-    table = kmers.words(R.fragments(spark, sf), 13)
-    one = table.where("name % 2 = 0").groupBy("kmer").agg(F.count("*").alias("n"))
-    two = table.where("name % 2 = 1").groupBy("kmer").agg(F.count("*").alias("n"))
-    return J.classify_haplotype(J.haplotype_counts(words, one, two, 1))
+    fragments = R.fragments(spark, sf)
+    table = kmers.words(fragments, 13)
+    first = F.col("name") % 2 == 0
+    both = table.groupBy("kmer").agg(F.count_if(first).alias("one"), F.count_if(~first).alias("two"))
+    return J.classify_haplotype(J.haplotype_counts(words, both, 1, kmers.index_rows(fragments, 13)))
 
 
 @query("J17", "X3", "X4", sql="SELECT least(a || b, b || a) AS pair, count(*) AS n FROM (SELECT l_returnflag || l_linestatus AS a, o_orderstatus AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey) GROUP BY 1")
@@ -157,7 +158,7 @@ def ordinal_map(spark, sf):
 
     nation = R.table(spark, sf, "nation").select("n_name", (F.row_number().over(Window.orderBy("n_nationkey")) - 1).alias("i"))
     rows = R.table(spark, sf, "lineitem").withColumn("i", F.expr("(l_suppkey div 2) % 25"))
-    return rows.join(F.broadcast(nation.limit(1000)), "i").select("l_orderkey", "l_linenumber", "n_name")
+    return rows.join(nation, "i").select("l_orderkey", "l_linenumber", "n_name")
 
 
 @query("J23", "A20", "F13", sql=f"WITH {R.MATCHES} SELECT id, ref, qry FROM matches WHERE qry IN (SELECT qry FROM matches GROUP BY 1 HAVING count(DISTINCT ref) >= 3)")

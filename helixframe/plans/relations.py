@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.functions import sequence as S
+from helixframe.runtime import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long reads (name, seq): the documents' texts as bases."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("name"), S.encode_text("text").alias("seq"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(F.col("doc_id").alias("name"), S.encode_text("text").alias("seq"))
 
 
 def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:

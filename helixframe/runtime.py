@@ -47,6 +47,14 @@ def release(df: DataFrame | None) -> None:
         where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows``, dealt out evenly where they come straight from a scan of fewer tasks than there are cores."""
+    if "AdaptiveSparkPlan" in rows._jdf.queryExecution().executedPlan().toString():
+        return rows  # dealt out by an exchange of its own
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A name for a helper column that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}
