@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-#: A period of the schedule is simulated slot by slot; documents are ranked by md5 within their source.
+#: A period of the schedule is simulated slot by slot, sources without weights as one task; documents are ranked by md5 within their source.
 SOURCE_MIX = """
 WITH RECURSIVE sized AS (
   SELECT coalesce('s' || source, 'n') AS sk, count(*) AS n FROM documents GROUP BY 1
 ), src AS (
-  SELECT sk, (CASE {cases} ELSE 1 END)::BIGINT AS u, row_number() OVER (ORDER BY sk) AS i FROM sized
-), tot AS (SELECT sum(u)::BIGINT AS h FROM src),
+  SELECT sk, (CASE {cases} ELSE 1 END)::BIGINT AS u, CASE WHEN sk IN ({named}) THEN sk END AS named, row_number() OVER (PARTITION BY sk IN ({named}) ORDER BY md5(sk), sk) - 1 AS i FROM sized
+), task AS (
+  SELECT named, sum(u)::BIGINT AS u, row_number() OVER (ORDER BY named NULLS LAST) AS i, count(*) AS n FROM src GROUP BY named
+), tot AS (SELECT sum(u)::BIGINT AS h FROM task),
 sim AS (
-  SELECT 0::BIGINT AS t, i, sk, u, h, 0::BIGINT AS done FROM src, tot
+  SELECT 0::BIGINT AS t, i, named, u, n, h, 0::BIGINT AS done FROM task, tot
   UNION ALL
-  SELECT t + 1, i, sk, u, h, done + CASE WHEN first = 1 THEN 1 ELSE 0 END
+  SELECT t + 1, i, named, u, n, h, done + CASE WHEN first = 1 THEN 1 ELSE 0 END
   FROM (SELECT *, row_number() OVER (ORDER BY CASE WHEN (done * h) // u <= t THEN 0 ELSE 1 END, ((done + 1) * h + u - 1) // u, i) AS first FROM sim WHERE t < h)
 ), slots AS (
-  SELECT a.sk, a.u, a.h, a.done AS j, a.t AS slot FROM sim a JOIN sim b ON a.i = b.i AND b.t = a.t + 1 AND b.done > a.done
+  SELECT a.named, a.u, a.n, a.h, a.done AS j, a.t AS slot FROM sim a JOIN sim b ON a.i = b.i AND b.t = a.t + 1 AND b.done > a.done
 ), ranked AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS sk,
     row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST) - 1 AS r FROM documents
+), block AS (
+  SELECT doc_id, source, r, src.named, CASE WHEN src.named IS NULL THEN (r // {rows}) * (SELECT n FROM task WHERE named IS NULL) + i ELSE r // {rows} END AS g FROM ranked JOIN src ON ranked.sk = src.sk
 )
-SELECT doc_id, source, ((r // {rows} // u) * h + slot)::BIGINT AS mix_slot, (r // {rows})::BIGINT AS mix_block, (r % {rows})::BIGINT AS mix_row
-FROM ranked JOIN slots ON ranked.sk = slots.sk AND slots.j = (r // {rows}) % u
+SELECT doc_id, source, ((g // u) * h + slot)::BIGINT AS mix_slot, (r // {rows})::BIGINT AS mix_block, (r % {rows})::BIGINT AS mix_row
+FROM block JOIN slots ON block.named IS NOT DISTINCT FROM slots.named AND slots.j = g % u
 """
 
 CHAT_FORMAT = """

@@ -132,7 +132,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     cases = " ".join(f"WHEN sk = 's{k}' THEN {w}" for k, w in WEIGHTS.items())
     return {
-        "op4_source_mix": oracles.SOURCE_MIX.format(cases=cases, rows=BLOCK_ROWS),
+        "op4_source_mix": oracles.SOURCE_MIX.format(cases=cases, named=", ".join(f"'s{k}'" for k in WEIGHTS), rows=BLOCK_ROWS),
         "op5_chat_format": oracles.CHAT_FORMAT.format(budget=BUDGET, history=HISTORY),
         "op6_sharding": oracles.SHARDING,
     }

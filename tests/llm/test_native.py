@@ -1,4 +1,6 @@
 import itertools
+import random
+import time
 from fractions import Fraction
 
 import pytest
@@ -22,17 +24,52 @@ def test_no_python_in_plans(spark):
 # Mixing
 
 
-def test_schedule_keeps_pfair_windows(spark):
-    units = {"a": 7, "b": 1, "c": 3, "d": 13, "n": 2}
-    h = sum(units.values())
-    got = mixing.schedule(spark.createDataFrame(list(units.items()), "sk string, u long")).collect()
-    assert sorted(r.slot for r in got) == list(range(h))
-    for r in got:
-        assert r.j * h // r.u <= r.slot < -(-(r.j + 1) * h // r.u)
-    ran = dict.fromkeys(units, 0)
-    for t, r in enumerate(sorted(got, key=lambda r: r.slot)):
-        ran[r.sk] += 1
-        assert all(abs(ran[s] - Fraction(u * (t + 1), h)) < 1 for s, u in units.items())
+def earliest_deadline_first(units, others):
+    """Slot by slot; the others are the task None, last in ties."""
+    tasks = [*sorted(units.items()), *([(None, others)] if others else [])]
+    h, done, out = sum(u for _, u in tasks), dict.fromkeys(units, 0) | {None: 0}, []
+    for t in range(h):
+        due, _, k, u = min((-(-(done[k] + 1) * h // u), i, k, u) for i, (k, u) in enumerate(tasks) if done[k] * h // u <= t)
+        assert t < due
+        if k is not None:
+            out.append((k, done[k], t))
+        done[k] += 1
+    return sorted(out)
+
+
+def test_schedule_is_earliest_deadline_first(spark):
+    rng = random.Random(4)
+    for n in range(25):
+        units = {c: rng.randrange(1, 12) for c in "abcdef"[: rng.randrange(1, 6)]}
+        others = rng.choice([0, 1, rng.randrange(1, 9), rng.randrange(1, 200)])
+        assert sorted(map(tuple, mixing.schedule(spark, units, others).collect())) == earliest_deadline_first(units, others)
+
+
+def test_many_sources(spark):
+    """Every source stays within a block of its share at every slot, and 100,000 sources take seconds."""
+    rows = [(i, f"o{i % 23}" if i % 3 else "big") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix(df, {"big": 5, "none": 9}, default=2, block_rows=4).collect()
+    units = {"big": 5} | {f"o{k}": 2 for k in range(23)}
+    h, blocks = sum(units.values()), sorted({(r.mix_slot, r.source) for r in got})
+    assert len({t for t, _ in blocks}) == len(blocks)
+    ran, last = dict.fromkeys(units, 0), {s: max(t for t, x in blocks if x == s) for s in units}
+    for t, s in blocks[: 3 * h]:
+        ran[s] += 1
+        assert all(abs(ran[x] - Fraction(u * (t + 1), h)) < 1 for x, u in units.items() if t <= last[x])
+    wide = spark.range(200_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("h"), F.col("id").cast("string"))).otherwise("src0").alias("source"))
+    began = time.monotonic()
+    seen = mixing.mix(wide, {"src0": 6, "src1": 3}).agg(F.count("*"), F.countDistinct("mix_slot", "mix_row"), F.max("mix_slot")).first()
+    assert seen[0] == seen[1] == 200_000 and time.monotonic() - began < 60
+
+
+def test_mix_keeps_columns_with_the_helpers_names(spark):
+    names = ["sk", "md", "bucket", "n", "offset", "other", "a.b"]
+    df = spark.createDataFrame([(1, "a", *names), (2, "b", *names)], ["doc_id", "source", *names])
+    got = mixing.mix(df, {"a": 2})
+    assert got.columns == [*df.columns, *mixing.OWN] and all(list(r)[2:9] == names for r in got.collect())
+    with pytest.raises(ValueError):
+        mixing.mix(df, {"a": 0})
 
 
 def test_mix_keeps_every_row(spark):
