@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.runtime import bound_batches
@@ -54,8 +54,6 @@ def numbered_fasta(spark: SparkSession, paths: Paths) -> DataFrame:
 
 def with_ordinal(rows: DataFrame, out: str) -> DataFrame:
     """Rows with their number from 0 in the order in which the files hold them."""
-    from pyspark.sql import Window
-
     # monotonically_increasing_id is partition << 33 | row, so numbering needs one row a partition.
     marked = rows.withColumn("__m", F.monotonically_increasing_id())
     sizes = marked.groupBy(F.shiftright("__m", 33).alias("__p")).agg(F.count("*").alias("__n"))
@@ -91,16 +89,31 @@ def fastq_records(lines: Iterable[str]) -> Iterator[tuple[str, str, str]]:
         yield name, bases, quality
 
 
-def fastq(spark: SparkSession, paths: Paths) -> DataFrame:
-    """(name, seq, qual).  A file is one task, as wrapped records can only be told apart from its start."""
-    bound_batches(spark)
-
-    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in frames:
-            for text in df["value"]:
-                yield pd.DataFrame(fastq_records(text.splitlines()), columns=["name", "seq", "qual"])
+def fastq(spark: SparkSession, paths: Paths, wrapped: bool = False) -> DataFrame:
+    """(name, seq, qual) of FASTQ files.
 
-    return spark.read.text(paths, wholetext=True).mapInPandas(parse, "name string, seq string, qual string")
+    Four-line records are split by Spark's reader, so a file is many tasks.  Where ``wrapped``,
+    sequences and qualities may span lines and FASTA records may stand among them; such records can
+    only be told apart from the start of a file, which is then one task.
+    """
+    if wrapped:
+        bound_batches(spark)
+
+        def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for df in frames:
+                for text in df["value"]:
+                    yield pd.DataFrame(fastq_records(text.splitlines()), columns=["name", "seq", "qual"])
+
+        return spark.read.text(paths, wholetext=True).mapInPandas(parse, "name string, seq string, qual string")
+    # A part is a record, unless its quality starts with @: then it is one without quality, and the next part is the quality.
+    parts = spark.read.option("lineSep", "\n@").text(paths).select(F.regexp_replace(F.regexp_replace("value", "\r", ""), r"^@|\n+$", "").alias("value"), F.input_file_name().alias("f"), F.input_file_block_start().alias("b"), F.monotonically_increasing_id().alias("i"))
+    lines = F.split("value", "\n")
+    named = lambda x: F.regexp_extract(x, r"^(\S*)", 1)
+    cut = parts.withColumn("l", lines)
+    whole = cut.where(F.size("l") == 4).select(named(F.col("l")[0]).alias("name"), F.col("l")[1].alias("seq"), F.col("l")[3].alias("qual"))
+    w = Window.partitionBy("f").orderBy("b", "i")
+    halves = cut.where(F.size("l") != 4).select("l", F.lead("value").over(w).alias("q")).where(F.size("l") == 3)
+    return whole.unionByName(halves.select(named(F.col("l")[0]).alias("name"), F.col("l")[1].alias("seq"), F.concat(F.lit("@"), F.coalesce("q", F.lit(""))).alias("qual")))
 
 
 #: Columns of an alignment summary (fixed order of the format).
@@ -219,11 +232,38 @@ def placements(spark: SparkSession, paths: Paths) -> DataFrame:
     return _table(spark, paths, [("read", "string"), ("super_read", "string"), ("pos", "long"), ("ori", "string")])
 
 
+def _cached(spark: SparkSession, paths: Paths, kind: str) -> tuple[DataFrame, Column]:
+    """Records of one kind of a parsed alignment cache, and their fields."""
+    return _lines(spark, paths).where(F.col("value").startswith(kind + "\t")), F.split("value", "\t")
+
+
+def cache_groups(spark: SparkSession, paths: Paths) -> DataFrame:
+    rows, p = _cached(spark, paths, "GROUP")
+    return rows.select(_field(p, 1, "long").alias("id"), _field(p, 2, "string").alias("name"))
+
+
+def cache_contigs(spark: SparkSession, paths: Paths) -> DataFrame:
+    rows, p = _cached(spark, paths, "CONTIG")
+    return rows.select(_field(p, 1, "long").alias("id"), _field(p, 2, "string").alias("name"), _field(p, 3, "long").alias("len"))
+
+
+def cache_nodes(spark: SparkSession, paths: Paths) -> DataFrame:
+    """(id, name, partner): the ends of contigs, each with the contig's other end."""
+    rows, p = _cached(spark, paths, "NODE")
+    return rows.select(_field(p, 1, "long").alias("id"), _field(p, 2, "string").alias("name"), _field(p, 3, "string").alias("partner"))
+
+
 def node_hits(spark: SparkSession, paths: Paths) -> DataFrame:
-    """(node, grp, n) from tagged records of a parsed alignment cache."""
-    rows = _lines(spark, paths).where(F.col("value").startswith("NODE_HITS"))
-    p = F.split("value", r"\s+")
-    return rows.select(p[1].alias("node"), p[2].alias("grp"), p[3].cast("long").alias("n"))
+    """(node, grp, n): hits of nodes in groups, given as ``grp:n,grp:n``; nodes with one group are left out."""
+    rows, p = _cached(spark, paths, "NODE_HITS")
+    hits = F.split(F.get(p, 2), ",")
+    one = rows.where(F.size(hits) >= 2).select(_field(p, 1, "long").alias("node"), F.explode(hits).alias("h"))
+    return one.select("node", F.split("h", ":")[0].cast("long").alias("grp"), F.split("h", ":")[1].cast("long").alias("n"))
+
+
+def kmer_counts(spark: SparkSession, paths: Paths) -> DataFrame:
+    """(kmer, n): lines of a word and its count."""
+    return _table(spark, paths, [("kmer", "string"), ("n", "long")])
 
 
 def merged_coords(parts: list[DataFrame]) -> DataFrame:

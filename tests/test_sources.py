@@ -32,7 +32,13 @@ def test_fasta_round_trip(spark, tmp_path):
 
 def test_fastq(spark, tmp_path):
     p = put(tmp_path / "x.fq", "@r1 c\nAC\nGT\n+\n@II\nI\n@r2\nT\n+r2\n>\n>f\nCC\nC\n")
-    assert rows(formats.fastq(spark, p)) == [("f", "CCC", ""), ("r1", "ACGT", "@III"), ("r2", "T", ">")]
+    assert rows(formats.fastq(spark, p, wrapped=True)) == [("f", "CCC", ""), ("r1", "ACGT", "@III"), ("r2", "T", ">")]
+
+
+def test_fastq_lines(spark, tmp_path):
+    """Records of four lines, qualities that start with @ or +, Windows line ends."""
+    p = put(tmp_path / "x.fq", "@r1 c\nACGT\n+\n@III\n@r2\nT\n+r2\n>\n@r3\r\nGG\r\n+\r\n+@\r\n@r4\nA\n+\n@\n")
+    assert rows(formats.fastq(spark, [p, put(tmp_path / "y.fq", "@s\nC\n+\n@")])) == [("r1", "ACGT", "@III"), ("r2", "T", ">"), ("r3", "GG", "+@"), ("r4", "A", "@"), ("s", "C", "@")]
 
 
 def test_coords_round_trip(spark, tmp_path):
@@ -69,7 +75,7 @@ def test_tables(spark, tmp_path):
     assert formats.links(spark, put(tmp_path / "l", "a 1 F b 2 R -7 acgt\na 1 F c 2 R 7\n")).orderBy("gap").first().seq == "acgt"
     assert rows(formats.placements(spark, put(tmp_path / "pl", "r s 5 F\n"))) == [("r", "s", 5, "F")]
     assert rows(formats.positions(spark, put(tmp_path / "pos", "p w 1 9 f\n"))) == [("p", "w", 1, 9, "f")]
-    assert rows(formats.node_hits(spark, put(tmp_path / "n", "CONTIG c 5\nNODE_HITS n1 g1 4\n"))) == [("n1", "g1", 4)]
+    assert rows(formats.node_hits(spark, put(tmp_path / "n", "CONTIG\t3\tc\t5\nNODE_HITS\t1\t7:4,8:2\nNODE_HITS\t2\t7:4\nNODE\t1\ta.L\ta.R\n"))) == [(1, 7, 4), (1, 8, 2)]
 
 
 def test_sinks(spark):
