@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequence import reverse_complement, segments, stitch
@@ -130,12 +130,16 @@ def extend_matches(matches: DataFrame, unknown: DataFrame, tolerance: int = 100_
     return out.select("id", "ref", "qry", no("before", F.col("hb")).cast("bigint").alias("before"), no("after", F.col("ha")).cast("bigint").alias("after"))
 
 
-def random_edits(seqs: DataFrame, rate: float, seed: int = 1) -> DataFrame:
-    """Substitutions (name, pos, ref, alt) at a share ``rate`` of the bases, drawn by a seeded hash of (name, pos)."""
+def random_edits(seqs: DataFrame, rate: float, seed: int = 1, draw: tuple[Column, Column] | None = None) -> DataFrame:
+    """Substitutions (name, pos, ref, alt) at a share ``rate`` of the bases.
+
+    ``draw`` are two whole numbers of (name, pos): the first, in millionths, chooses the bases, the second
+    what they turn into; both come from a seeded hash where they are not given.
+    """
     at = seqs.where(F.length("seq") > 0).select("name", F.posexplode(F.split("seq", "")).alias("i", "ref")).withColumn("pos", F.col("i") + 1)
     h = F.xxhash64("name", "pos", F.lit(seed))
-    hit = at.where(F.pmod(h, F.lit(1_000_000)) < int(rate * 1_000_000))
-    turn = F.pmod(F.shiftright(h, 32), F.lit(3)).cast("int") + 1
+    choose, turn = draw or (h, F.shiftright(h, 32))
+    hit = at.where(F.upper("ref").isin("A", "C", "G", "T") & (F.pmod(choose, F.lit(1_000_000)) < int(rate * 1_000_000)))
     known = F.expr("instr('ACGT', upper(ref))")
-    to = F.substr(F.lit("ACGTACGT"), known + turn, F.lit(1))
-    return hit.where(F.upper("ref").isin("A", "C", "G", "T")).select("name", "pos", "ref", to.alias("alt"))
+    to = F.substr(F.lit("ACGTACGT"), known + F.pmod(turn, F.lit(3)).cast("int") + 1, F.lit(1))
+    return hit.select("name", "pos", "ref", to.alias("alt"))

@@ -166,10 +166,10 @@ def multi_target_filter(spark, sf):
     return J.several_targets(R.matches(spark, sf).select("id", "ref", "qry"), least=3)
 
 
-@query("J25", "X15", sql="SELECT p_partkey, l_suppkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE list_contains(string_split(p_type, ' '), CASE WHEN l_suppkey % 2 = 0 THEN 'STEEL' ELSE 'BRASS' END) GROUP BY ALL")
+@query("J25", "X15", sql="SELECT p_partkey, l_suppkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE list_contains(string_split(p_type, ' '), CASE WHEN l_suppkey % 2 = 0 THEN 'STANDARD' ELSE 'PROMO' END) GROUP BY ALL")
 def endpoint_filter(spark, sf):
     rows = R.table(spark, sf, "lineitem").join(R.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    want = F.when(F.col("l_suppkey") % 2 == 0, "STEEL").otherwise("BRASS")
+    want = F.when(F.col("l_suppkey") % 2 == 0, "STANDARD").otherwise("PROMO")
     return rows.where(F.array_contains(F.split("p_type", " "), want)).select("p_partkey", "l_suppkey").distinct()
 
 
@@ -194,10 +194,10 @@ def unique_paths(spark, sf):
     return p.select(F.least("path", S.path_name(S.reverse_path(S.parse_path("path")))).alias("path")).distinct()
 
 
-@query("U5", sql="SELECT k FROM (SELECT DISTINCT c_custkey AS k FROM customer UNION ALL SELECT DISTINCT o_custkey FROM orders) GROUP BY 1 HAVING count(*) = 1")
+@query("U5", sql="SELECT k FROM (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_acctbal > 0 UNION ALL SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 3 > 0) GROUP BY 1 HAVING count(*) = 1")
 def sym_diff(spark, sf):
-    a = R.table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).distinct()
-    b = R.table(spark, sf, "orders").select(F.col("o_custkey").alias("k")).distinct()
+    a = R.table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k")).distinct()
+    b = R.table(spark, sf, "orders").where("o_custkey % 3 > 0").select(F.col("o_custkey").alias("k")).distinct()
     return a.unionByName(b).groupBy("k").count().where("count = 1").select("k")
 
 

@@ -9,6 +9,7 @@ from helixframe.functions import sequence as S
 from helixframe.operators import intervals as I
 from helixframe.operators import joining
 from helixframe.operators import joins as J
+from helixframe.plans import kernel_sql as K
 from helixframe.plans import relations as R
 from helixframe.plans.registry import query
 from helixframe.sources import formats, sinks
@@ -84,13 +85,13 @@ def partial_then_final(spark, sf):
     return R.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.max("l_extendedprice").alias("best"), F.count("*").alias("n"))
 
 
-@query("K8", "A29")
+@query("K8", "A29", sql=K.MATES)
 def mate_pair_records(spark, sf):
     pieces = S.windows(R.reads(spark, sf), 900, 2000).select(F.col("name").alias("read"), F.col("start").alias("pos"), F.col("piece").alias("seq"))
     return sinks.mate_pairs(pieces).select("read", "library", "insert", F.md5("left").alias("left"), F.md5("right").alias("right"))
 
 
-@query("K7", "K14")
+@query("K7", sql=K.FRG)
 def frg_records(spark, sf):
     return sinks.frg_lines(sinks.frg_windows(R.reads(spark, sf), 6000, 5000), "LR")
 
@@ -101,7 +102,7 @@ def _pieces(spark, sf):
     return reads, cut.select(F.col("name").alias("read"), F.concat(F.lit("m"), F.expr("start div 1800")).alias("name"), "start", (F.col("start") + F.length("piece") - 1).alias("stop"), F.col("piece").alias("seq"))
 
 
-@query("G15", "G16", "G17", "F30", "J10")
+@query("G15", "G16", "G17", "F30", "J10", sql=K.JOINED)
 def joined_reads(spark, sf):
     reads, pieces = _pieces(spark, sf)
     v = pieces.select("read", F.col("name").alias("a")).distinct()
@@ -109,7 +110,7 @@ def joined_reads(spark, sf):
     return joining.join_reads(reads, pieces, v, least_out=400, least=300).select("read", "part", F.length("seq").alias("n"), F.md5("seq").alias("digest"))
 
 
-@query("G18", "Q17")
+@query("G18", "Q17", sql=K.CORRECTED)
 def corrected_reads(spark, sf):
     reads, pieces = _pieces(spark, sf)
     placed = pieces.select(F.col("read").alias("name"), "start", "stop", F.lower("seq").alias("unitig"))

@@ -9,6 +9,7 @@ from helixframe.operators import aggregates as A
 from helixframe.operators import editing as E
 from helixframe.operators import merging as M
 from helixframe.operators import scaffold as G
+from helixframe.plans import kernel_sql as K
 from helixframe.plans import relations as R
 from helixframe.plans.registry import query
 
@@ -87,7 +88,7 @@ def wrapped_lines(spark, sf):
     return R.fragments(spark, sf).select("name", S.wrap_lines("seq", 50).alias("wrapped"))
 
 
-@query("F12", "F15", "F16", "F28", "Y4", "Y5", sql=f"WITH {R.MATCHES} SELECT id FROM matches WHERE (mlen >= 2000 OR mlen * 100 > 20 * qlen) AND (rs <= 2000 OR re >= rlen - 2000) AND ref <> qry AND rlen > qlen")
+@query("F15", "F28", "Y4", "Y5", sql=f"WITH {R.MATCHES} SELECT id FROM matches WHERE (mlen >= 2000 OR mlen * 100 > 20 * qlen) AND (rs <= 2000 OR re >= rlen - 2000) AND ref <> qry AND rlen > qlen")
 def end_hang_filter(spark, sf):
     m = R.matches(spark, sf)
     long = (F.col("mlen") >= 2000) | (F.col("mlen") * 100 > 20 * F.col("qlen"))
@@ -111,15 +112,32 @@ def broken_contigs(spark, sf):
     return E.break_at(f, at)
 
 
-@query("G29", "G30", "D16")
+def _draws():
+    """Two numbers for each base by a multiplicative generator, which SQL has too."""
+    one = (F.col("name") * 1000003 + F.col("pos")) % 2147483647 * 48271 % 2147483647
+    return one, one * 16807 % 2147483647
+
+
+@query("G29", "D16", sql=K.APPLIED)
 def apply_edits(spark, sf):
     docs = R.table(spark, sf, "documents").select(F.col("doc_id").alias("name"), F.col("text").alias("seq"))
-    return E.apply_edits(docs, E.random_edits(docs, 0.01)).select("name", F.md5("seq").alias("digest"), "applied", "skipped")
+    return E.apply_edits(docs, E.random_edits(docs, 0.01, draw=_draws())).select("name", F.md5("seq").alias("digest"), "applied", "skipped")
+
+
+@query("G30", sql=f"""WITH {R.FRAGMENTS}, s AS (SELECT name, unnest([5, 20, 24, 60]) AS a, unnest([9, 30, 40, 64]) AS b FROM fragments),
+    p AS (SELECT name, substring(seq, 1, 4) || 'n5' || substring(seq, 10, 10) || 'n20' || substring(seq, 31, 29) || 'n60' || substring(seq, 65) AS seq FROM fragments WHERE length(seq) >= 64)
+    SELECT name, seq FROM p""")
+def replaced_segments(spark, sf):
+    """Segments replaced from right to left; one that starts inside an earlier one gives way."""
+    f = R.fragments(spark, sf).where(F.length("seq") >= 64)
+    spans = F.explode(F.array(*(F.struct(F.lit(a).alias("start"), F.lit(b).alias("stop")) for a, b in ((5, 9), (20, 30), (24, 40), (60, 64)))))
+    segs = f.select("name", spans.alias("x")).select("name", "x.start", "x.stop", F.concat(F.lit("n"), F.col("x.start").cast("string")).alias("new"))
+    return E.replace_segments(f, segs)
 
 
-@query("G32")
+@query("G32", sql=K.RANDOM_EDITS)
 def random_errors(spark, sf):
-    return E.random_edits(R.fragments(spark, sf), 0.05)
+    return E.random_edits(R.fragments(spark, sf), 0.05, draw=_draws())
 
 
 @query("G26", "G27", "W17", sql="""WITH p AS (SELECT l_orderkey AS name, l_linenumber, l_partkey, repeat(CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'T' END, 3) AS s, 1 + l_partkey % 4 AS before, 1 + l_suppkey % 5 AS after, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem),
@@ -132,11 +150,15 @@ def scaffold_sequences(spark, sf):
     return E.scaffold(p)
 
 
-@query("G31", "W5", sql=f"""WITH {R.MATCHES}, n AS (SELECT *, lag(re) OVER w AS pe, lead(rs) OVER w AS ns FROM matches WINDOW w AS (PARTITION BY ref ORDER BY rs, re, id))
-    SELECT id, ref, qry, least(greatest(0, rs - 1 - coalesce(pe, 0)), CASE WHEN qs < qe THEN qs - 1 ELSE qlen - qs END, 100000) AS before, least(greatest(0, coalesce(ns, rlen + 1) - re - 1), CASE WHEN qs < qe THEN qlen - qe ELSE qe - 1 END, 100000) AS after FROM n""")
+@query("G31", "W5", sql=f"""WITH {R.MATCHES}, u AS (SELECT s_suppkey AS ref, 700 * d + 13 * (s_suppkey % 40) AS us, 700 * d + 13 * (s_suppkey % 40) + 5 AS ue FROM supplier, generate_series(1, 20) v(d)),
+    n AS (SELECT *, lag(re) OVER w AS pe, lead(rs) OVER w AS ns FROM matches WINDOW w AS (PARTITION BY ref ORDER BY rs, re, id)),
+    e AS (SELECT *, least(greatest(0, rs - 1 - coalesce(pe, 0)), CASE WHEN qs < qe THEN qs - 1 ELSE qlen - qs END, 100000) AS b, least(greatest(0, coalesce(ns, rlen + 1) - re - 1), CASE WHEN qs < qe THEN qlen - qe ELSE qe - 1 END, 100000) AS a FROM n)
+    SELECT id, ref, qry, CASE WHEN EXISTS (SELECT 1 FROM u WHERE u.ref = e.ref AND us >= rs - b AND ue < rs) THEN 0 ELSE b END AS before, CASE WHEN EXISTS (SELECT 1 FROM u WHERE u.ref = e.ref AND us > re AND ue <= re + a) THEN 0 ELSE a END AS after FROM e""")
 def extended_matches(spark, sf):
-    none = spark.range(0).select(F.col("id").alias("name"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("stop"))
-    return E.extend_matches(R.matches(spark, sf), none)
+    """Matches stretched into free reference, but not over runs of unknown bases."""
+    s = R.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("name"), F.explode(F.sequence(F.lit(1), F.lit(20))).alias("d"))
+    at = F.col("d") * 700 + F.col("name") % 40 * 13
+    return E.extend_matches(R.matches(spark, sf), s.select("name", at.alias("start"), (at + 5).alias("stop")))
 
 
 @query("Y2", "A22", sql=f"WITH {R.FRAGMENTS} SELECT name, substring(seq, (name % 9 + 1)::INTEGER, (length(seq) - name % 9 - name % 5)::INTEGER) AS seq FROM fragments WHERE length(seq) - name % 9 - name % 5 >= 120")
@@ -160,17 +182,17 @@ def added_sequences(spark, sf):
     return new.join(placed, "qry", "left_anti")
 
 
-@query("G11", "G12", "X14")
+@query("G11", "G12", "X14", sql=K.MERGED)
 def merged_matches(spark, sf):
     return M.with_percents(M.merge_matches(R.matches(spark, sf), 2000)).select("ref", "qry", "rs", "re", "qs", "qe", "n", "idy2", "cov_r", "cov_q")
 
 
-@query("G13", "Q13")
+@query("G13", "Q13", sql=K.MERGED_AND_TILED)
 def merged_and_tiled(spark, sf):
     return M.merge_and_tile(R.matches(spark, sf), 2000, least=1000)
 
 
-@query("G14", "K1")
+@query("G14", sql=K.INTERVAL_TILING)
 def interval_tiling(spark, sf):
     return M.interval_tiling(R.matches(spark, sf), 17)
 
@@ -180,29 +202,29 @@ def coverage_gap_regions(spark, sf):
     return M.coverage_gaps(R.matches(spark, sf))
 
 
-@query("A17")
+@query("A17", sql=K.MEDIANS)
 def iterative_median_clusters(spark, sf):
     li = R.table(spark, sf, "lineitem")
     g = li.select((F.col("l_partkey") % 40).alias("u1"), (F.col("l_suppkey") % 10).alias("u2"), R.item_id().alias("id"), (F.col("l_quantity") * 40).cast("long").alias("gap"), F.round(F.col("l_discount") * 1000).cast("long").alias("over"))
     return M.gap_consensus(g, radius=200)
 
 
-@query("F25")
+@query("F25", sql=K.THINNED)
 def thinned_breaks(spark, sf):
     return M.thinned_positions(R.matches(spark, sf).select("ref", F.col("rs").alias("pos"), F.col("mlen").alias("score")), "ref", 500)
 
 
-@query("F26")
+@query("F26", sql=K.PLACED)
 def contained_placements(spark, sf):
     return M.placed_longest_first(R.matches(spark, sf).select(F.col("ref").alias("key"), "id", F.col("rs").alias("a"), F.col("re").alias("b")), "key", 50)
 
 
-@query("F27")
+@query("F27", sql=K.ADVANCING)
 def monotone_ends(spark, sf):
     return M.advancing(R.matches(spark, sf).select("ref", "id", "rs", "re"), "ref", "rs", "re", 100)
 
 
-@query("F17")
+@query("F17", sql=K.STREAMED)
 def streamed_matches(spark, sf):
     return M.filter_matches(R.matches(spark, sf), span=0.05).select("id", "qry")
 
@@ -234,7 +256,7 @@ def barcode_trees(spark, sf):
     return G.trees(L.reciprocal(L.strong(L.scored(L.shared_groups(R.links(spark, sf))), -2.0), -3.0))
 
 
-@query("G24")
+@query("G24", sql=K.GAP_PATHS)
 def gap_paths(spark, sf):
     part = R.table(spark, sf, "part")
     edges = part.select(F.col("p_partkey").cast("string").alias("src"), ((F.col("p_partkey") * 3 + F.col("p_size")) % 200).cast("string").alias("dst"), (F.col("p_size") + 1).cast("long").alias("add"))
