@@ -13,6 +13,18 @@ def best_match(matches: DataFrame, whole_percent: bool = True) -> DataFrame:
     return matches.groupBy("qry").agg(F.max_by(F.struct("id", "ref"), F.struct(weight.alias("w"), (-F.col("id")).alias("i"))).alias("m")).select("qry", "m.id", "m.ref")
 
 
+def best_match_in_parts(matches: DataFrame, parts: int = 8, least: int = 0) -> DataFrame:
+    """The best match of each query, found part by part: queries are dealt to references' parts, filtered there, merged, and filtered again.
+
+    The second filter sees one match a part and query, so a query that hits references everywhere
+    is no hot key; the result is that of one filter over all.
+    """
+    long = matches.where(F.col("mlen") >= least).withColumn("part", F.pmod(F.xxhash64("ref"), F.lit(parts)))
+    weight = F.struct(F.floor(F.col("mlen") * F.col("idy") / 100).alias("w"), (-F.col("id")).alias("i"))
+    first = long.groupBy("qry", "part").agg(F.max(F.struct(weight.alias("k"), "id", "ref")).alias("m"))
+    return first.groupBy("qry").agg(F.max("m").alias("m")).select("qry", "m.id", "m.ref")
+
+
 def duplicates_by_coverage(matches: DataFrame, least: float, by: str = "qry") -> DataFrame:
     """Queries whose coverage adds up to more than ``least`` percent."""
     cov = matches.withColumn("c", F.col("mlen") * 100.0 / F.col("qlen"))

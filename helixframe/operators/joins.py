@@ -102,6 +102,11 @@ def best_joins(joins: DataFrame, least_gap: int = -10_000, most_gap: int = 500_0
     return good.select("ctg1", "dir1", "b.oh1", "ctg2", "dir2", "b.oh2", "b.gap", "n", "b.qry")
 
 
+def near_reference_ends(matches: DataFrame, slack: int) -> DataFrame:
+    """Matches that reach within ``slack`` of an end of their reference."""
+    return matches.where((F.col("rs") <= slack) | (F.col("re") >= F.col("rlen") - slack))
+
+
 def longest_member(joins: DataFrame, reads: DataFrame) -> DataFrame:
     """For each kind of join its longest read (name, length) and its distinct members, in order."""
     with_len = joins.join(reads.select(F.col("name").alias("qry"), F.length("seq").alias("n")), "qry")

@@ -24,6 +24,12 @@ def depth_filter(hits: DataFrame, low: float = 0.05, high: float = 0.95, least:
     return hits.join(kept, "node", "left_semi")
 
 
+def frequent_barcodes(reads: DataFrame, more_than: int, least: int = 100) -> DataFrame:
+    """Reads (read, barcode, length) of at least ``least`` bases whose barcode has more than ``more_than`` reads of any length."""
+    many = reads.groupBy("barcode").agg(F.count("*").alias("c")).where(F.col("c") > more_than).select("barcode")
+    return reads.where(F.col("length") >= least).join(many, "barcode", "left_semi")
+
+
 def shared_groups(hits: DataFrame) -> DataFrame:
     """Rows (a, b, shared, jaccard), a <> b, both ways: nodes that share groups.
 

@@ -11,13 +11,13 @@ from collections import defaultdict
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.sequence import reverse_complement
 from helixframe.operators.components import connected_components
 from helixframe.operators.grouped import per_group
-from helixframe.runtime import bound_batches, materialize
+from helixframe.runtime import bound_batches, materialize, release
 
 End = tuple[str, str]
 
@@ -294,34 +294,61 @@ def trees(edges: DataFrame) -> DataFrame:
     return per_group(rows, ["component"], one, "component string, node string, position double, in_trunk boolean")
 
 
-def merge_pair(a: str, b: str, spans: tuple[int, int, int, int], slack: int = 500) -> str | None:
-    """Two overlapping contigs as one: ``spans`` (a1, a2, b1, b2) match, 1-based, b reversed if b1 > b2; None if neither end hangs over."""
-    a1, a2, b1, b2 = spans
-    if b1 > b2:
-        flip = str.maketrans("ACGTNacgtn", "TGCANtgcan")
-        b, b1, b2 = b.translate(flip)[::-1], len(b) - b1 + 1, len(b) - b2 + 1
-    a_tail, b_tail, a_head, b_head = len(a) - a2, len(b) - b2, a1 - 1, b1 - 1
-    if a_tail <= slack and b_head <= slack and b_tail > slack:
-        return a[:a2] + b[b2:]
-    if b_tail <= slack and a_head <= slack and b_head > slack:
-        return b[:b2] + a[a2:]
-    if b_head <= slack and b_tail <= slack:
-        return a
-    if a_head <= slack and a_tail <= slack:
-        return b
-    return None
-
-
-def node_window(length: int, excluded: list[tuple[int, int]], size: int, most: int, from_end: bool = False) -> int:
-    """Length of the window at a contig's end that holds ``size`` usable bases, skipping excluded ones up to ``most`` more."""
-    spans = sorted((length - b + 1, length - a + 1) for a, b in excluded) if from_end else sorted(excluded)
-    stop, at, skipped = size, 0, 0
-    for a, b in spans:
-        a = max(a, at + 1)
-        if a > stop or b < a:
-            continue
-        add = min(b - a + 1, most - skipped)
-        skipped, stop, at = skipped + add, stop + add, b
-        if skipped >= most:
-            break
-    return min(stop, length)
+def disjoint_pairs(pairs: DataFrame, a: str, b: str, order: str) -> DataFrame:
+    """Pairs taken in ``order`` (unique), each of whose two members no earlier taken pair has.
+
+    In a round every pair goes that comes first among the pairs of both of its members; it
+    would be taken in turn as well, as nothing before it shares a member.
+    """
+    left, out = materialize(pairs.where(F.col(a) != F.col(b)), "pairs"), None
+    while out is None or not left.isEmpty():
+        ends = left.select(F.col(a).alias("__n"), F.col(order).alias("__o")).unionByName(left.select(F.col(b).alias("__n"), F.col(order).alias("__o")))
+        first = ends.groupBy("__n").agg(F.min("__o").alias("__m"))
+        side = lambda c: first.select(F.col("__n").alias(c), F.col("__m").alias(f"__m_{c}"))
+        now = materialize(left.join(side(a), a).join(side(b), b).where((F.col(order) == F.col(f"__m_{a}")) & (F.col(order) == F.col(f"__m_{b}"))).select(*pairs.columns), "taken")
+        out = now if out is None else out.unionByName(now)
+        used = now.select(F.col(a).alias("__n")).unionByName(now.select(F.col(b).alias("__n")))
+        before, left = left, materialize(left.join(used, F.col(a) == F.col("__n"), "left_anti").join(used, F.col(b) == F.col("__n"), "left_anti"), "pairs")
+        release(before)
+    return out
+
+
+def merged_pair(a: Column, b: Column, a1: Column, a2: Column, b1: Column, b2: Column, slack: int = 500) -> Column:
+    """Two overlapping contigs as one: a1-a2 and b1-b2 match, 1-based, b reversed if b1 > b2; null if neither end hangs over."""
+    turn, nb = b1 > b2, F.length(b)
+    s = F.when(turn, reverse_complement(b)).otherwise(b)
+    x1, x2 = F.when(turn, nb - b1 + 1).otherwise(b1), F.when(turn, nb - b2 + 1).otherwise(b2)
+    fits = {"a_tail": F.length(a) - a2 <= slack, "b_tail": nb - x2 <= slack, "a_head": a1 - 1 <= slack, "b_head": x1 - 1 <= slack}
+    joined = lambda x, end, y, start: F.concat(F.substr(x, F.lit(1), end.cast("int")), F.substr(y, start.cast("int") + 1))
+    return (
+        F.when(fits["a_tail"] & fits["b_head"] & ~fits["b_tail"], joined(a, a2, s, x2))
+        .when(fits["b_tail"] & fits["a_head"] & ~fits["b_head"], joined(s, x2, a, a2))
+        .when(fits["b_head"] & fits["b_tail"], a)
+        .when(fits["a_head"] & fits["a_tail"], s)
+    )
+
+
+def merge_pairs(pairs: DataFrame, contigs: DataFrame, order: str = "i", slack: int = 500) -> DataFrame:
+    """(a, b, seq): contigs (name, seq) merged pair by pair in order of ``order``; a merge uses both up.
+
+    ``pairs`` has (a, b, a1, a2, b1, b2) and the order; pairs whose ends do not fit use up nothing.
+    """
+    side = lambda c: contigs.select(F.col("name").alias(c), F.col("seq").alias(f"seq_{c}"))
+    made = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("seq", merged_pair(*(F.col(c) for c in ("seq_a", "seq_b", "a1", "a2", "b1", "b2")), slack))
+    return disjoint_pairs(made.where("seq is not null").select(order, "a", "b", "seq"), "a", "b", order).select("a", "b", "seq")
+
+
+def node_windows(contigs: DataFrame, excluded: DataFrame, size: int, most: int) -> DataFrame:
+    """(name, left, right): lengths of the windows at a contig's (name, len) ends that hold ``size`` usable bases.
+
+    Bases in ``excluded`` (name, start, stop) are skipped, up to ``most`` more at each end.
+    """
+    spans = excluded.groupBy("name").agg(F.collect_list(F.struct(F.col("start").cast("long").alias("a"), F.col("stop").cast("long").alias("b"))).alias("x"))
+    rows = contigs.join(spans, "name", "left").withColumn("x", F.coalesce("x", F.array().cast("array<struct<a:bigint,b:bigint>>")))
+    rows = rows.withColumn("y", F.transform("x", lambda s: F.struct((F.col("len") - s["b"] + 1).alias("a"), (F.col("len") - s["a"] + 1).alias("b"))))
+    # The bases of a span that lie inside the window, and were not skipped before, move the window's end, as far as allowed.
+    window = """aggregate(sort_array({0}), named_struct('stop', {1}L, 'at', 0L),
+        (acc, s) -> if(greatest(s.a, acc.at + 1) > acc.stop OR s.b <= acc.at, acc,
+            named_struct('stop', acc.stop + least(s.b - greatest(s.a, acc.at + 1) + 1, {1}L + {2}L - acc.stop), 'at', s.b)),
+        acc -> least(acc.stop, cast(len AS bigint)))"""
+    return rows.select("name", F.expr(window.format("x", int(size), int(most))).alias("left"), F.expr(window.format("y", int(size), int(most))).alias("right"))

@@ -31,7 +31,7 @@ def component_arg_max(spark, sf):
     return o.groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", -F.col("o_orderkey"))).alias("best"))
 
 
-@query("A6", "O7", "O8", sql="SELECT l_suppkey, nth FROM (SELECT l_suppkey, l_quantity AS nth, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS r FROM lineitem) WHERE r = 5")
+@query("A6", "O8", sql="SELECT l_suppkey, nth FROM (SELECT l_suppkey, l_quantity AS nth, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS r FROM lineitem) WHERE r = 5")
 def nth_smallest(spark, sf):
     w = Window.partitionBy("l_suppkey").orderBy("l_quantity")
     return R.table(spark, sf, "lineitem").select("l_suppkey", F.col("l_quantity").alias("nth"), F.row_number().over(w).alias("r")).where("r = 5").drop("r")
@@ -95,7 +95,7 @@ def auto_score_threshold(spark, sf):
     return L.auto_threshold(l, 30)
 
 
-@query("F20", "F19", sql=f"WITH {R.LINKS}, p AS (SELECT node, sum(n) AS t FROM links GROUP BY 1), s AS (SELECT t, count(*) AS c FROM p GROUP BY 1), q AS (SELECT t, c, sum(c) OVER (ORDER BY t) AS upto, (SELECT sum(c) FROM s) AS al FROM s) SELECT node, t::BIGINT AS t FROM p WHERE t IN (SELECT t FROM q WHERE upto >= 0.05 * al AND upto - c < 0.95 * al)")
+@query("F20", sql=f"WITH {R.LINKS}, p AS (SELECT node, sum(n) AS t FROM links GROUP BY 1), s AS (SELECT t, count(*) AS c FROM p GROUP BY 1), q AS (SELECT t, c, sum(c) OVER (ORDER BY t) AS upto, (SELECT sum(c) FROM s) AS al FROM s) SELECT node, t::BIGINT AS t FROM p WHERE t IN (SELECT t FROM q WHERE upto >= 0.05 * al AND upto - c < 0.95 * al)")
 def depth_quantile_filter(spark, sf):
     return L.depth_filter(R.links(spark, sf)).groupBy("node").agg(F.sum("n").alias("t"))
 
@@ -107,7 +107,7 @@ def components(spark, sf):
     return connected_components(e)
 
 
-@query("A26", "F23", "S11", sql="""WITH v AS (SELECT substring(o_orderpriority, 3, 1 + o_custkey % 2) AS ref, substring(o_orderpriority, 3, 1 + o_orderkey % 3) AS alt, o_orderkey % 4 AS ro, o_orderkey % 7 AS ao FROM orders),
+@query("A26", "F23", sql="""WITH v AS (SELECT substring(o_orderpriority, 3, 1 + o_custkey % 2) AS ref, substring(o_orderpriority, 3, 1 + o_orderkey % 3) AS alt, o_orderkey % 4 AS ro, o_orderkey % 7 AS ao FROM orders),
     h AS (SELECT sum(CASE WHEN length(ref) = length(alt) THEN length(ref) ELSE 0 END)::BIGINT AS substitutions, sum(CASE WHEN length(ref) <> length(alt) THEN abs(length(ref) - length(alt)) ELSE 0 END)::BIGINT AS indels FROM v WHERE ao > 1 AND ao >= 2 * ro)
     SELECT substitutions, indels, round(100 * (1 - (substitutions + indels) / n), 6) AS quality, round(-10 * log10((substitutions + indels) / n + 1e-10), 6) AS qv FROM h, (SELECT sum(n_chars) AS n FROM documents)""")
 def polish_report(spark, sf):
@@ -118,7 +118,7 @@ def polish_report(spark, sf):
     return A.polish_report(v, size).withColumns({"quality": F.round("quality", 6), "qv": F.round("qv", 6)})
 
 
-@query("A27", "S4", "D6", "Q12", "Q21", "X8", sql=f"WITH {R.PATHS}, u AS (SELECT name, unnest(string_split(path, '_')) AS u FROM paths), l AS (SELECT i AS uid, 20 + i % 7 AS len FROM generate_series(0, 49) t(i)) SELECT name, (sum(len) - (count(*) - 1) * 4)::BIGINT AS n FROM u JOIN l ON l.uid = regexp_replace(u, '[FR]', '')::INTEGER GROUP BY 1")
+@query("A27", "D6", "Q12", "Q21", "X8", sql=f"WITH {R.PATHS}, u AS (SELECT name, unnest(string_split(path, '_')) AS u FROM paths), l AS (SELECT i AS uid, 20 + i % 7 AS len FROM generate_series(0, 49) t(i)) SELECT name, (sum(len) - (count(*) - 1) * 4)::BIGINT AS n FROM u JOIN l ON l.uid = regexp_replace(u, '[FR]', '')::INTEGER GROUP BY 1")
 def super_read_sizes(spark, sf):
     units = R.paths(spark, sf).select("name", F.explode(S.parse_path("path")).alias("u")).select("name", F.col("u.id").alias("uid"))
     lens = units.join(R.unitigs(spark, sf), "uid").groupBy("name").agg(F.collect_list("len").alias("l"))

@@ -130,7 +130,6 @@ _TRIO = f"{R.READS}, {R.FRAGMENTS}, {R.kmers_sql('reads', 13, 'rk')}, {R.kmers_s
     "J19",
     "A16",
     "F24",
-    "S16",
     "D20",
     sql=f"""WITH {_TRIO}, c AS (SELECT name, count(*) FILTER (o.kmer IS NOT NULL AND t.kmer IS NULL) AS p1, count(*) FILTER (o.kmer IS NULL AND t.kmer IS NOT NULL) AS p2, count(*) FILTER (o.kmer IS NOT NULL AND t.kmer IS NOT NULL) AS shared, count(*) AS total
     FROM rk LEFT JOIN one o ON rk.kmer = o.kmer LEFT JOIN two t ON rk.kmer = t.kmer GROUP BY 1)

@@ -17,7 +17,7 @@ from helixframe.sources import formats, sinks
 _M = f"WITH {R.MATCHES}"
 
 
-@query("F21", "S13", "D18", sql=f"{_M}, w AS (SELECT s_suppkey AS ref, 1000 + s_suppkey % 7 * 1500 + d AS a2, 2200 + s_suppkey % 7 * 1500 + d AS b2 FROM supplier, (VALUES (0), (5000)) v(d)), o AS (SELECT id, sum(least(re, b2) - greatest(rs, a2) + 1) AS n FROM matches m JOIN w ON w.ref = m.ref AND rs <= b2 AND a2 <= re GROUP BY 1) SELECT id FROM matches WHERE id NOT IN (SELECT o.id FROM o JOIN matches m ON m.id = o.id WHERE n * 2 >= re - rs + 1)")
+@query("F21", "D18", sql=f"{_M}, w AS (SELECT s_suppkey AS ref, 1000 + s_suppkey % 7 * 1500 + d AS a2, 2200 + s_suppkey % 7 * 1500 + d AS b2 FROM supplier, (VALUES (0), (5000)) v(d)), o AS (SELECT id, sum(least(re, b2) - greatest(rs, a2) + 1) AS n FROM matches m JOIN w ON w.ref = m.ref AND rs <= b2 AND a2 <= re GROUP BY 1) SELECT id FROM matches WHERE id NOT IN (SELECT o.id FROM o JOIN matches m ON m.id = o.id WHERE n * 2 >= re - rs + 1)")
 def exclusion_window_filter(spark, sf):
     m = R.matches(spark, sf).select("id", F.col("ref").alias("key"), F.col("rs").alias("a"), F.col("re").alias("b"))
     at = 1000 + F.col("s_suppkey") % 7 * 1500
@@ -55,7 +55,7 @@ def patch_dedupe(spark, sf):
     return R.table(spark, sf, "orders").select(F.col("o_orderkey").alias("qry")).join(covered, "qry", "left_anti")
 
 
-@query("F18", "S14", sql=f"{_M} SELECT id FROM matches WHERE idy >= 95 AND (qry <> ref OR (abs(qs - rs) > 100 AND abs(qe - re) > 100))")
+@query("F18", sql=f"{_M} SELECT id FROM matches WHERE idy >= 95 AND (qry <> ref OR (abs(qs - rs) > 100 AND abs(qe - re) > 100))")
 def self_hit_filter(spark, sf):
     return formats.self_hits(R.matches(spark, sf), 95).select("id")
 
@@ -79,12 +79,6 @@ def routed_reads(spark, sf):
     return sinks.route_to_batches(R.table(spark, sf, "orders").select(F.col("o_orderkey").alias("name")), joins)
 
 
-@query("G38", sql="SELECT l_suppkey, max(l_extendedprice) AS best, count(*) AS n FROM lineitem GROUP BY 1")
-def partial_then_final(spark, sf):
-    """Partial aggregation before the shuffle, final after it: the planner's own."""
-    return R.table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.max("l_extendedprice").alias("best"), F.count("*").alias("n"))
-
-
 @query("K8", "A29", sql=K.MATES)
 def mate_pair_records(spark, sf):
     pieces = S.windows(R.reads(spark, sf), 900, 2000).select(F.col("name").alias("read"), F.col("start").alias("pos"), F.col("piece").alias("seq"))

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules of this folder that register queries when imported.
-MODULES = ("seed_queries", "join_queries", "interval_queries", "aggregate_queries", "kernel_queries", "sequence_queries", "more_queries", "source_queries")
+MODULES = ("seed_queries", "join_queries", "interval_queries", "aggregate_queries", "kernel_queries", "sequence_queries", "more_queries", "source_queries", "graph_queries")
 
 
 @dataclass(frozen=True)

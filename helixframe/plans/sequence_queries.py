@@ -47,7 +47,7 @@ core AS (SELECT uid, array_to_string([substring('ACGT', ((v // (4::BIGINT ** (11
 unitigs AS (SELECT uid, 'ACGT' || c || substring(c, 1, (uid % 7)::INTEGER) || 'ACGT' AS seq FROM core)"""
 
 
-@query("X7", "G22", "S5", "D1", sql=f"""WITH {R.PATHS}, {_UNITIGS}, u AS (SELECT name, unnest(string_split(path, '_')) AS u, generate_subscripts(string_split(path, '_'), 1) AS i FROM paths),
+@query("X7", "G22", "D1", sql=f"""WITH {R.PATHS}, {_UNITIGS}, u AS (SELECT name, unnest(string_split(path, '_')) AS u, generate_subscripts(string_split(path, '_'), 1) AS i FROM paths),
     s AS (SELECT name, i, CASE WHEN ends_with(u, 'R') THEN {RC('seq')} ELSE seq END AS s FROM u JOIN unitigs ON uid = regexp_replace(u, '[FR]', '')::INTEGER)
     SELECT name, string_agg(CASE WHEN i = 1 THEN s ELSE substring(s, 5) END, '' ORDER BY i) AS seq FROM s GROUP BY 1""")
 def stitch_by_path(spark, sf):

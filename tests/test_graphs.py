@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from helixframe import catalog
@@ -123,15 +125,55 @@ def test_gap_paths_against_brute_force(spark):
     assert {r.id: r.path for r in catalog.queries()["gap_paths"](spark, data).collect()} == want
 
 
-def test_merge_pair_and_windows():
+def test_merge_pairs(spark):
+    flip = lambda x: x.translate(str.maketrans("ACGT", "TGCA"))[::-1]
     a, b = "A" * 2000 + "C" * 700, "C" * 700 + "G" * 2000
-    assert G.merge_pair(a, b, (2001, 2700, 1, 700)) == "A" * 2000 + "C" * 700 + "G" * 2000
-    flip = b.translate(str.maketrans("CG", "GC"))[::-1]
-    assert G.merge_pair(a, flip, (2001, 2700, 2700, 2001)) == "A" * 2000 + "C" * 700 + "G" * 2000
-    assert G.merge_pair(a, "C" * 700, (2001, 2700, 1, 700)) == a and G.merge_pair(b, a, (1, 700, 2001, 2700)) == "A" * 2000 + "C" * 700 + "G" * 2000
-    assert G.merge_pair("A" * 900 + "C" * 9 + "A" * 900, "G" * 900 + "C" * 9 + "G" * 900, (901, 909, 901, 909)) is None
-    assert G.node_window(1000, [], 100, 50) == 100 and G.node_window(1000, [(11, 30)], 100, 50) == 120 and G.node_window(1000, [(11, 90)], 100, 50) == 150
-    assert G.node_window(1000, [(981, 990)], 100, 50, from_end=True) == 110 and G.node_window(60, [], 100, 50) == 60
+    both = "A" * 2000 + "C" * 700 + "G" * 2000
+
+    def merged(x, y, spans):
+        df = spark.createDataFrame([(x, y, *spans)], "x string, y string, a1 int, a2 int, b1 int, b2 int")
+        return df.select(G.merged_pair(*(F.col(c) for c in df.columns)).alias("s")).first().s
+
+    assert merged(a, b, (2001, 2700, 1, 700)) == merged(a, flip(b), (2001, 2700, 2700, 2001)) == merged(b, a, (1, 700, 2001, 2700)) == both
+    assert merged(a, "C" * 700, (2001, 2700, 1, 700)) == a == merged("C" * 700, a, (1, 700, 2001, 2700))
+    assert merged("A" * 900 + "C" * 9 + "A" * 900, "G" * 900 + "C" * 9 + "G" * 900, (901, 909, 901, 909)) is None
+
+
+def test_disjoint_pairs_are_the_greedy_ones(spark):
+    rng = random.Random(2)
+    rows = [(i, rng.randrange(30), rng.randrange(30)) for i in range(60)]
+    used, want = set(), []
+    for i, a, b in rows:
+        if a != b and not {a, b} & used:
+            used |= {a, b}
+            want.append((i, a, b))
+    got = G.disjoint_pairs(spark.createDataFrame(rows, "i int, a int, b int"), "a", "b", "i")
+    assert sorted(map(tuple, got.collect())) == want
+    assert G.disjoint_pairs(got.limit(0), "a", "b", "i").count() == 0
+
+
+def test_node_windows(spark):
+    """Against counting bases one by one."""
+    rng = random.Random(6)
+    contigs, excluded, want = [], [], {}
+    for n in range(60):
+        size = rng.randrange(60, 400)
+        spans = [(a, a + rng.randrange(0, 40)) for a in (rng.randrange(1, size) for _ in range(rng.randrange(0, 6)))]
+        contigs.append((n, size))
+        excluded += [(n, a, min(b, size)) for a, b in spans]
+        bad = [any(a <= p <= b for a, b in spans) for p in range(1, size + 1)]
+
+        def window(flags):
+            usable = skipped = p = 0
+            while p < len(flags) and usable < 100:
+                skip = flags[p] and skipped < 50
+                skipped, usable, p = skipped + skip, usable + (not skip), p + 1
+            return p
+
+        want[n] = (window(bad), window(bad[::-1]))
+    got = G.node_windows(spark.createDataFrame(contigs, "name int, len int"), spark.createDataFrame(excluded, "name int, start int, stop int"), 100, 50)
+    assert {r.name: (r.left, r.right) for r in got.collect()} == want
+
 
 
 def test_edits(spark):
