@@ -6,6 +6,9 @@ system turn (its first turn, where that has the role ``system``) and repeats as
 the turns just before it as fit in ``history`` tokens.  Repeated turns are context: only
 assistant texts that are new in a window are in its loss mask, so each is a target once.
 
+A system turn that leaves no room (its tokens and ``history`` reach ``budget``) gives a stride of 1: every
+turn has a window of its own, with the whole system turn, and is ``over_budget``.
+
 With stride = (budget - history - system tokens) / 2 a window keeps to the budget
 whenever no single turn is longer than the stride; a longer turn is never cut, and its
 window says so in ``over_budget``.
@@ -17,7 +20,7 @@ text can hold a control string and reading back is exact.
 Defined results for unusual input: null texts and roles are empty; turns go in order of
 (turn, role, text), null turns first, repeated rows side by side; a null conversation
 id is a conversation of its own; an empty table gives an empty table; other columns are
-ignored.
+ignored, whatever their names; texts of any length are kept whole.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.runtime import materialize
+
 #: Turn numbers that are summed up together before conversations are.
 RUN = 256
 END = "</turn>\n"
@@ -70,7 +75,8 @@ def format_windows(conversations: DataFrame, budget: int = 512, history: int = 6
         said.alias("text"),
         tokens(said).alias("k"),
     )
-    rows = _numbered(turns)
+    # Written once: system turns, window starts and pieces are all read from it.
+    rows = materialize(_numbered(turns), "turns")
     first = (F.col("pos") == 1) & (F.col("role") == "system")
     system = rows.where(first).select("c", F.col("text").alias("sys"), F.col("k").alias("sk"))
     body = rows.where(~first).join(system.select("c", "sk"), "c", "left").withColumn("sk", F.coalesce("sk", F.lit(0)))
