@@ -4,7 +4,7 @@ Independent evidence about a document's language adds up as log-likelihoods:
 
 * its text: hashed byte-trigram models, one a language, counted over all documents whose
   declared language is one of ``languages``, and a uniform model for ``und`` (any
-  other); long texts count as at most ``EVIDENCE`` trigrams, as these are not independent;
+  other); long texts count as at most ``evidence`` trigrams, as these are not independent;
 * the language its markup or metadata declares;
 * the suffix of its address (top-level domain);
 * its host: the share of each language among the host's other documents, smoothed
@@ -17,7 +17,7 @@ below ``least``.
 Defined results for unusual input: null, empty and letterless texts have no text
 evidence and are ``und``, rejected; null declarations, addresses or hosts are no
 evidence; whole texts of any length count; repeated rows each get the same result; an
-empty table gives an empty table.  Other columns pass through; the result columns take
+empty table gives an empty table.  Other columns pass through, whatever their names; the result columns take
 the place of input columns of the same names.
 """
 
@@ -96,7 +96,7 @@ def learn(docs: DataFrame, languages: tuple[str, ...], text: Column, declared: C
     return np.vstack((model, np.full((1, 1 << BITS), -BITS * np.log(2)))).astype(np.float32)
 
 
-def text_evidence(model: np.ndarray, text: Column) -> Column:
+def text_evidence(model: np.ndarray, text: Column, evidence: float = EVIDENCE) -> Column:
     """array<double>: log-likelihood of the text for each language, tempered, highest 0; null without letters."""
 
     @F.arrow_udf("array<double>")
@@ -109,7 +109,7 @@ def text_evidence(model: np.ndarray, text: Column) -> Column:
             h, use = trigrams(data, FOLD, BITS), _letters(data)
             n = row_sums(use, offsets)
             s = np.stack([row_sums(w[h] * use, offsets) for w in model], 1)
-            s *= np.where(n > EVIDENCE, EVIDENCE / np.maximum(n, 1), 1.0)[:, None]
+            s *= np.where(n > evidence, evidence / np.maximum(n, 1), 1.0)[:, None]
             s -= s.max(1, keepdims=True)
             out += [x if k else None for x, k in zip(s.tolist(), n.tolist(), strict=True)]
         return pa.array(out, pa.list_(pa.float64()), size=len(out))
@@ -144,7 +144,7 @@ def _shares(table: DataFrame, key: str, up: DataFrame | None, up_key: str | None
     return both.select(key, *((((F.col(f"n_{x}") + SMOOTH * F.col(f"u_{x}")) / (n + SMOOTH)).alias(f"s_{x}")) for x in names))
 
 
-def identify(docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "fr"), text: Column | None = None, declared: Column | None = None, host: Column | None = None, least: float = 0.5, trust: float = 0.9, suffix_trust: float = 0.7) -> DataFrame:
+def identify(docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "fr"), text: Column | None = None, declared: Column | None = None, host: Column | None = None, least: float = 0.5, trust: float = 0.9, suffix_trust: float = 0.7, evidence: float = EVIDENCE) -> DataFrame:
     """``docs`` with lang_id, lang_posterior and lang_kept.
 
     ``text``, ``declared`` and ``host`` are expressions over ``docs``; the text models are
@@ -154,9 +154,11 @@ def identify(docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "f
     declared, host = none if declared is None else F.lower(declared), none if host is None else host
     names = [*languages, UND]
     m = len(names)
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in OWN))
+    kept = [c for c in docs.columns if c.lower() not in OWN]
     model = learn(docs, languages, text, declared)
-    scored = kept.withColumn("__t", text_evidence(model, text)).withColumn("__d", declared).withColumn("__h", F.coalesce(host, F.lit("")))
+    # Input columns go by number until the end, so that none has the name of a helper.
+    numbered = [F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(kept)]
+    scored = docs.select(*numbered, text_evidence(model, text, evidence).alias("__t"), declared.alias("__d"), F.coalesce(host, F.lit("")).alias("__h"))
     parts = [F.exp(F.element_at("__t", k + 1)) for k in range(m)]
     soft = scored.select("__h", *((x / sum(parts, F.lit(0.0))).alias(f"p_{n}") for x, n in zip(parts, names, strict=True)))
     tail = F.split(F.col("__h"), r"\.")
@@ -175,7 +177,7 @@ def identify(docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "f
         joined = scored.join(F.broadcast(prior), F.col("__h") == F.col("__k"), "left")
     else:
         salted = prior.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = scored.withColumn("__r", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")).join(salted, (F.col("__h") == F.col("__k")) & (F.col("__r") == F.col("__s")), "left")
+        joined = scored.withColumn("__r", F.pmod(F.xxhash64("__t"), F.lit(SALTS)).cast("int")).join(salted, (F.col("__h") == F.col("__k")) & (F.col("__r") == F.col("__s")), "left")
 
     # The host's shares leave out the document's own text evidence.
     total = sum(parts, F.lit(0.0))
@@ -197,4 +199,4 @@ def identify(docs: DataFrame, languages: tuple[str, ...] = ("de", "en", "es", "f
     best = F.element_at(F.array(*map(F.lit, names)), F.array_position("__l", top).cast("int"))
     posterior = 1 / F.aggregate("__l", F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max("__l")))
     winner = fused.withColumn("__best", F.coalesce(best, F.lit(UND))).withColumn("__p", F.coalesce(posterior, F.lit(1.0)))
-    return winner.select(*(F.col(f"`{c}`") for c in kept.columns), F.col("__best").alias("lang_id"), F.col("__p").alias("lang_posterior"), ((F.col("__best") != UND) & (F.col("__p") >= least)).alias("lang_kept"))
+    return winner.select(*(F.col(f"c{n}").alias(c) for n, c in enumerate(kept)), F.col("__best").alias("lang_id"), F.col("__p").alias("lang_posterior"), ((F.col("__best") != UND) & (F.col("__p") >= least)).alias("lang_kept"))

@@ -15,7 +15,7 @@ the smallest hash of their text; statistics, votes and scores cover all whole te
 Defined results for unusual input: null counts as empty; texts without words get no
 votes and are scored and rejected as bad (score 0); repeated rows get equal scores; if
 the votes name no document bad, or none good, the scorer returns the posterior's prior
-side for all; an empty table gives an empty table.  Other columns pass through; the
+side for all; an empty table gives an empty table.  Other columns pass through, whatever their names; the
 result columns take the place of input columns of the same names.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.llm.textbytes import pieces, row_sums, trigrams
-from helixframe.runtime import bound_batches, materialize
+from helixframe.runtime import bound_batches, fresh, materialize
 
 BITS = 11
 #: Distinct texts of either label that the scorer is fitted on, at most.
@@ -222,5 +222,6 @@ def _scored(kept: DataFrame, text: str, model, least: float) -> DataFrame:
             out.append(np.where(np.isnan(stats).all(1), 0.0, p))
         return pa.array(np.concatenate([*out, np.empty(0)]))
 
-    scored = kept.withColumn("__q", score_of(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    return scored.select(*(F.col(f"`{c}`") for c in kept.columns), F.col("__q").alias("quality_score"), (F.col("__q") >= least).alias("quality_kept"))
+    q = fresh(kept, "q")
+    scored = kept.withColumn(q, score_of(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    return scored.select(*(F.col(f"`{c}`") for c in kept.columns), F.col(q).alias("quality_score"), (F.col(q) >= least).alias("quality_kept"))

@@ -13,13 +13,15 @@ few tasks without a shuffle.
 
 Defined results for unusual input: nulls, empty and long texts and repeated rows are
 stored as they are; an empty arrival adds no run; a store without runs reads as an empty
-table; batches are told apart by a column that is not stored (a null batch is one).
+table; batches are told apart by a column that is not stored, with a name that no
+other column has (a null batch is one).
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -27,6 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from helixframe.runtime import fresh
+
 
 class Conflict(Exception):
     """Another writer committed this version first."""
@@ -101,8 +105,8 @@ class ShardStore:
     def append(self, arrivals: DataFrame, batch: Column | None = None) -> list[int]:
         """Store ``arrivals`` as one run for each value of ``batch``, each committed as its own version."""
         base = f"data/{uuid.uuid4().hex}"
-        key = (F.lit(0) if batch is None else batch).alias("__batch")
-        arrivals.select("*", key).write.partitionBy("__batch").parquet(f"{self.root}/{base}")
+        name = fresh(arrivals, "batch")
+        arrivals.select("*", (F.lit(0) if batch is None else batch).alias(name)).write.partitionBy(name).parquet(f"{self.root}/{base}")
         done = []
         for part in sorted(x.getPath().getName() for x in self._list(base) if x.isDirectory()):
             if run := self._run(f"{base}/{part}"):
@@ -137,14 +141,18 @@ class ShardStore:
                 tiers.setdefault(math.floor(math.log(max(1, r.bytes / least), fanout)), []).append(r)
         return next((x[:fanout] for _, x in sorted(tiers.items()) if len(x) >= fanout), [])
 
-    def vacuum(self) -> None:
-        """Delete the data of runs that the newest version no longer holds."""
-        live = {r.name for r in self.runs()}
+    def vacuum(self, older_than: float = 86_400) -> None:
+        """Delete the data of runs that the newest version no longer holds.
+
+        Younger data than ``older_than`` seconds stay: they may be of a writer that has yet to commit them.
+        """
+        live, last = {r.name for r in self.runs()}, 1000 * (time.time() - older_than)
         for top in self._list("data"):
             base = f"data/{top.getPath().getName()}"
-            parts = [f"{base}/{x.getPath().getName()}" for x in self._list(base) if x.isDirectory()]
-            for name in parts or [base]:
-                if name not in live:
+            parts = [x for x in self._list(base) if x.isDirectory()]
+            for x in parts or [top]:
+                name = f"{base}/{x.getPath().getName()}" if parts else base
+                if name not in live and x.getModificationTime() <= last:
                     self._fs.delete(self._path(name), True)
 
     def read(self, version: int | None = None) -> DataFrame:

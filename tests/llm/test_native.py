@@ -121,6 +121,12 @@ def test_long_turn_is_whole(spark):
     assert any(r.over_budget for r in win) and sum(r.n_new for r in win) == 9
 
 
+def test_system_turn_that_leaves_no_room(spark):
+    rows = [(1, 0, "system", "s" * 4000), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", "c")]
+    win = sorted(chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=200, history=0).collect(), key=lambda r: r.window)
+    assert len(win) == 3 and all(r.over_budget and "s" * 4000 in r.formatted for r in win) and sum(r.n_new for r in win) == 4
+
+
 def test_chat_empty(spark):
     assert chat.format_windows(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
@@ -145,6 +151,24 @@ def test_store(spark, tmp_path):
     with pytest.raises(sharding.Conflict):
         store.commit([], store.version() - 1)
     store.vacuum()
+    assert store.read(before).count() == len(rows)  # replaced data are young
+    store.vacuum(older_than=-60)
+    assert sorted(map(tuple, store.read().collect()), key=str) == sorted(rows, key=str)
+
+
+def test_store_keeps_any_columns_and_texts(spark, tmp_path):
+    """Columns with the helper's name, very long and empty texts; vacuum of an empty store, and of what nobody has committed."""
+    rows = [(1, "x" * 3_000_000, "b", 7), (2, "", None, 8), (2, None, "", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, batch string, _batch int")
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/any", df.schema)
+    store.vacuum(older_than=-60)
+    store.append(df, F.col("doc_id"))
+    df.write.parquet(f"{tmp_path}/any/data/uncommitted")
+    store.vacuum()
+    assert (tmp_path / "any/data/uncommitted").exists()
+    store.vacuum(older_than=-60)
+    assert not (tmp_path / "any/data/uncommitted").exists()
+    store.compact(fanout=2)
     assert sorted(map(tuple, store.read().collect()), key=str) == sorted(rows, key=str)
 
 

@@ -59,6 +59,60 @@ def test_links_against_brute_force(found):
         assert r.kept == (i is not None and i == r.component_id)
 
 
+def planted(n, d=64, seed=9):
+    """Vectors in all directions, near copies of some (cosines around the threshold), one dense group and one group of equal vectors."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, d))
+    x[n // 2 : n // 2 + n // 8] = x[: n // 8] + rng.standard_normal((n // 8, d)) * np.linspace(0.05, 0.45, n // 8)[:, None]
+    x[-n // 6 : -n // 12] = x[0] + rng.standard_normal((n // 6 - n // 12, d)) * 0.15
+    x[-n // 12 :] = x[1]
+    return x, np.arange(n) % 2
+
+
+def truth(x, labels, least=0.93):
+    u, n = x / np.linalg.norm(x, axis=1, keepdims=True), len(x)
+    counts, edges = np.zeros(n, int), []
+    for a in range(0, n, 2000):
+        near = (u[a : a + 2000] @ u.T >= least) & (labels[a : a + 2000, None] == labels)
+        near[np.arange(len(near)), np.arange(a, a + len(near))] = False
+        counts[a : a + len(near)] = near.sum(1)
+        edges.append(np.minimum(np.where(near.any(1), near.argmax(1), n), np.arange(a, a + len(near))))
+    return counts, np.concatenate(edges)
+
+
+@pytest.mark.parametrize("group", [64, itq.GROUP])
+def test_planted_links_at_scale(spark, group):
+    """Recall on planted links; small neighbourhoods make many tasks share the dense and the equal group."""
+    n = 3000 if group == 64 else 20_000
+    x, labels = planted(n)
+    pdf = spark.createDataFrame([(i, v.tolist(), int(l)) for i, (v, l) in enumerate(zip(x, labels))], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in itq.near_duplicates(pdf, group=group).collect()}
+    want, _ = truth(x, labels)
+    mine = np.array([got[i].n_links for i in range(n)])
+    assert (mine <= want).all() and mine.sum() >= 0.99 * want.sum()
+    pairs = np.arange(n // 2, n // 2 + n // 8)
+    assert mine[pairs].sum() >= 0.95 * want[pairs].sum() > 0
+    assert len({got[i].component_id for i in range(n - n // 12, n)}) == 2
+
+
+def test_longer_segments_find_the_same(spark):
+    """The setting for very many vectors, on few."""
+    x, labels = planted(2000)
+    df = spark.createDataFrame([(i, v.tolist(), int(l)) for i, (v, l) in enumerate(zip(x, labels))], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in itq.near_duplicates(df, segments=3, ball=3).collect()}
+    want, _ = truth(x, labels)
+    assert all(got[i] <= want[i] for i in got) and sum(got.values()) >= 0.98 * want.sum()
+
+
+def test_registered_links_over_a_whole_table(spark):
+    """The query's columns on the driver's vectors, which have no links, and on the same with planted ones."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    got = llm.op3_embedding_dedup(spark, "/root/testdata/sf0.01")
+    assert got.columns[:4] == ["vec_id", "n_links", "component_id", "kept"] and got.count() == rows.select("vec_id").distinct().count()
+    want = {i: len(x) for i, x in brute_links([(r.vec_id, r.embedding, r.label) for r in rows.collect()]).items()}
+    assert {r.vec_id: r.n_links for r in got.collect()} == want
+
+
 def test_nothing_to_link(spark):
     df = spark.createDataFrame([(1, None, 1), (2, [0.0], 1)], SCHEMA)
     assert [(r.vec_id, r.n_links, r.component_id) for r in itq.near_duplicates(df).orderBy("vec_id").collect()] == [(1, 0, 1), (2, 0, 2)]
