@@ -39,6 +39,8 @@ from helixframe.runtime import bound_batches, materialize, release
 SAMPLE = 4096
 #: Most vectors of a class in one row, and about as many as the group in which a task looks for classes.
 CHUNK, GROUP = 256, 2048
+#: Crowded neighbourhoods up to this number are broadcast.
+BROADCAST_GROUPS = 100_000
 #: Sampled vectors that a leader of a crowded neighbourhood has, at least.
 DENSE = 8
 #: Vectors of a label up to which tables have four segments (16 bits of 64); beyond, three (21 bits).
@@ -203,7 +205,10 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vec: str = "embeddin
     place = ["label", "d", "p"]
     keyed = coded.withColumn("p", F.shiftrightunsigned("code", bits - prefix_bits) if bits > prefix_bits else F.col("code"))
     crowded = keyed.groupBy(*place).count().where(F.col("count") > group).withColumn("parts", F.ceil(F.col("count") / F.lit(group // 2)).cast("bigint")).drop("count")
-    salted = keyed.join(crowded, place, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    # At most a row for ``group`` vectors: broadcast while these are few, so that a crowded neighbourhood meets in no task.
+    crowded = materialize(crowded, "crowded")
+    few = crowded.count() <= BROADCAST_GROUPS
+    salted = keyed.join(F.broadcast(crowded) if few else crowded, place, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     salted = materialize(salted.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("parts"))), "salted")
     lean = math.cos(0.98 * math.acos(least) / 2)  # two vectors of a class are then closer than the threshold
     kind = dict(vectors.select(l.alias("l")).dtypes)["l"]
@@ -246,11 +251,12 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vec: str = "embeddin
     parts = connected_components(links.select("a", "b").unionByName(certain.select("a", "b")).distinct(), "a", "b")
     whole = certain.select(F.col("a").alias("class"), F.col("size_b").alias("n")).unionByName(certain.select(F.col("b").alias("class"), F.col("size_a").alias("n"))).groupBy("class").agg(F.sum("n").alias("beside"))
     sized = info.join(whole, "class", "left").select("class", (F.col("size") - 1 + F.coalesce("beside", F.lit(0))).alias("within"))
-    inner = classes.select("class", F.explode("ids").alias("rep")).join(sized, "class")
-    grouped = inner.join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("part", F.coalesce("component", "class"))
-    first = grouped.groupBy("part").agg(F.min("rep").alias("component_id"))
+    # Rows of classes hold many vectors each, so joins by class and component see few rows of a large one.
+    grouped = classes.select("class", "ids").join(sized, "class").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("part", F.coalesce("component", "class"))
+    first = grouped.groupBy("part").agg(F.min(F.array_min("ids")).alias("component_id"))
+    inner = grouped.join(first, "part").select(F.explode("ids").alias("rep"), "within", "component_id")
     crossing = links.groupBy(F.col("id").alias("rep")).agg(F.sum("n").alias("across"))
-    taking = grouped.join(first, "part").join(crossing, "rep", "left").select("rep", (F.col("within") + F.coalesce("across", F.lit(0))).alias("links"), F.col("component_id").alias("part_id"))
+    taking = inner.join(crossing, "rep", "left").select("rep", (F.col("within") + F.coalesce("across", F.lit(0))).alias("links"), F.col("component_id").alias("part_id"))
     # Back to all vectors by the hashes of their representative.
     keys = one.select("id", "k1", "k2")
     known = taking.join(keys, taking.rep == keys.id).select("k1", "k2", "links", "part_id")
