@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.llm.pretokens import blocks, factorise, ragged
-from helixframe.runtime import bound_batches
+from helixframe.runtime import bound_batches, fresh
 
 #: Rank of a pair that does not merge.
 NEVER = np.int32(2**31 - 1)
@@ -224,17 +224,32 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+def _encoded(texts: pa.Array, ranks: str, pattern: str) -> pa.ListArray:
+    found = [codec(ranks, pattern).encode(part) for part in blocks(texts)]
+    ends = np.cumsum(np.concatenate([[0], *(n for _, n in found)]))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *(ids for ids, _ in found)])))
+
+
+def _decoded(lists: pa.ListArray, ranks: str, pattern: str) -> pa.Array:
+    flat, n = lists.flatten(), np.array([len(x) if x.is_valid else 0 for x in lists], np.int64)
+    if flat.null_count:
+        raise ValueError("null token id")
+    data, ends = codec(ranks, pattern).decode(flat.to_numpy())
+    ends = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n)))]
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+
+
+# All are marked so that they are computed once, however many columns use the result.
+
+
 def encode(df: DataFrame, ranks: str, text: str = "text", out: str = "ids", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``df`` with the column ``out``: array<int> of the whole text's ids by the rank file at ``ranks``."""
     bound_batches(df.sparkSession)
 
     @F.arrow_udf("array<int>")
     def of(texts: pa.Array) -> pa.Array:
-        found = [codec(ranks, pattern).encode(part) for part in blocks(texts)]
-        ends = np.cumsum(np.concatenate([[0], *(n for _, n in found)]))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *(ids for ids, _ in found)])))
+        return _encoded(texts, ranks, pattern)
 
-    # So marked, it is computed once, however many columns (or a later decode) use its result.
     return df.withColumn(out, of.asNondeterministic()(F.col(f"`{text}`")))
 
 
@@ -244,11 +259,21 @@ def decode(df: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded", pa
 
     @F.arrow_udf("binary")
     def of(lists: pa.Array) -> pa.Array:
-        flat, n = lists.flatten(), np.array([len(x) if x.is_valid else 0 for x in lists], np.int64)
-        if flat.null_count:
-            raise ValueError("null token id")
-        data, ends = codec(ranks, pattern).decode(flat.to_numpy())
-        ends = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n)))]
-        return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
-
-    return df.withColumn(out, of(F.col(f"`{ids}`")))
+        return _decoded(lists, ranks, pattern)
+
+    return df.withColumn(out, of.asNondeterministic()(F.col(f"`{ids}`")))
+
+
+def round_trip(df: DataFrame, ranks: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """``df`` with the columns ``ids`` and ``decoded``, as ``decode(encode(df))`` gives them, by one worker a task."""
+    bound_batches(df.sparkSession)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def of(texts: pa.Array) -> pa.Array:
+        lists = _encoded(texts, ranks, pattern)
+        return pa.StructArray.from_arrays([lists, _decoded(lists, ranks, pattern)], ["ids", "decoded"])
+
+    both = fresh(df, "both")
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in (ids.lower(), decoded.lower())]
+    made = df.withColumn(both, of.asNondeterministic()(F.col(f"`{text}`")))
+    return made.select(*kept, F.col(f"{both}.ids").alias(ids), F.col(f"{both}.decoded").alias(decoded))

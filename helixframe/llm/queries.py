@@ -103,7 +103,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, RANKS).select("doc_id", "ids"), RANKS)
+    both = bpe.round_trip(docs, RANKS)
     return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

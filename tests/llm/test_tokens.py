@@ -31,11 +31,14 @@ def test_encode_decode(spark):
     got = {r.doc_id: r for r in bpe.decode(bpe.encode(df, RANKS), RANKS).collect()}
     for i, t in rows:
         assert got[i].ids == LIB.encode_ordinary(t or "") and bytes(got[i].decoded) == (t or "").encode() and got[i].x == 1
+    one = bpe.round_trip(df.withColumn("both", bpe.F.lit(2)), RANKS)
+    assert one.columns == ["doc_id", "text", "x", "both", "ids", "decoded"]
+    assert {r.doc_id: (r.ids, bytes(r.decoded)) for r in one.collect()} == {i: (got[i].ids, bytes(got[i].decoded)) for i in got}
 
 
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
-    assert bpe.decode(bpe.encode(df, RANKS), RANKS).count() == 0
+    assert bpe.decode(bpe.encode(df, RANKS), RANKS).collect() == bpe.round_trip(df, RANKS).collect() == []
     assert tokencount.count_tokens(df, JSON).count() == 0
 
 
