@@ -47,7 +47,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     schedule depends on the documents' ids and sources only.
     """
     mixed = mixing.mix(docs.select("doc_id", "source", "text"), WEIGHTS, block_rows=BLOCK_ROWS)
-    both = bpe.decode(bpe.encode(mixed, RANKS), RANKS)
+    both = bpe.round_trip(mixed, RANKS)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return both.select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("decodes"), *mixing.OWN)
 
