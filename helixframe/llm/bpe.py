@@ -37,7 +37,7 @@ CELLS = 1 << 18
 #: Pre-tokens of more bytes are merged one at a time.
 LONG = 2048
 #: Pre-tokens of one generation that a worker remembers; it keeps two, and a use renews.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Pre-tokens of more bytes are not remembered.
 REMEMBERED_BYTES = 64
 #: Ids that are decoded at once.

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from helixframe.runtime import fresh
 
 #: Rows of a numbering bucket where a source has few, and the most buckets a source is cut into.
-BUCKET_ROWS, BUCKETS = 256, 4096
+BUCKET_ROWS, BUCKETS = 64, 4096
 #: Buckets in which the sources without weights are numbered.
 SOURCE_BUCKETS = 256
 OWN = ("mix_slot", "mix_block", "mix_row")

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 import regex
 
 #: Bytes of text that are split at once.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 
 
 class Pieces(NamedTuple):

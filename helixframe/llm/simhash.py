@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.operators.components import connected_components
-from helixframe.runtime import bound_batches, materialize
+from helixframe.runtime import bound_batches, fresh, materialize
 
 #: Shingles whose bits are counted at once; bounds the memory for very long texts.
 CHUNK = 16384
@@ -92,11 +92,11 @@ def linked_pairs(distinct: DataFrame, column: str, radius: int = 3, segments: in
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _grouped(docs: DataFrame, text: str, id: str, shingle: int, seed: int, radius: int, segments: int) -> DataFrame:
-    """``docs`` without its text, with fingerprint_bits, component_id and __component, the smallest fingerprint of the component."""
+def _fingerprinted(docs: DataFrame, text: str, id: str, shingle: int, seed: int, radius: int, segments: int) -> tuple[DataFrame, DataFrame]:
+    """(``docs`` without its text, with fingerprint_bits; for each fingerprint its component_id and __component, the smallest fingerprint of the component)."""
     bound_batches(docs.sparkSession)
     own = ("fingerprint", "fingerprint_bits", "component_id", "__component")
-    narrow = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in own), fingerprints(F.col(text), shingle, seed).alias("fingerprint_bits"))
+    narrow = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in own), fingerprints(F.col(f"`{text}`"), shingle, seed).alias("fingerprint_bits"))
     narrow = materialize(narrow, "fingerprints")
     by_value = materialize(narrow.groupBy("fingerprint_bits").agg(F.min(f"`{id}`").alias("first_id")), "distinct")
     links = linked_pairs(by_value, "fingerprint_bits", radius, segments)
@@ -105,14 +105,14 @@ def _grouped(docs: DataFrame, text: str, id: str, shingle: int, seed: int, radiu
     members = comps.join(by_value, comps.node == by_value.fingerprint_bits).select("component", "fingerprint_bits", "first_id")
     smallest = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
     linked = members.join(smallest, "component").select("fingerprint_bits", "component", "component_id")
-    ids = by_value.join(linked, "fingerprint_bits", "left").select("fingerprint_bits", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component", "fingerprint_bits").alias("__component"))
-    return narrow.join(ids, "fingerprint_bits", "left")
+    return narrow, by_value.join(linked, "fingerprint_bits", "left").select("fingerprint_bits", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component", "fingerprint_bits").alias("__component"))
 
 
 def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 3, seed: int = 42, radius: int = 3, segments: int = 2) -> DataFrame:
     """``docs`` without its text, with fingerprint (16 hex digits), fingerprint_bits (signed long) and component_id."""
     hexed = F.lower(F.lpad(F.hex("fingerprint_bits"), 16, "0"))
-    return _grouped(docs, text, id, shingle, seed, radius, segments).drop("__component").select("*", hexed.alias("fingerprint"))
+    narrow, groups = _fingerprinted(docs, text, id, shingle, seed, radius, segments)
+    return narrow.join(groups.drop("__component"), "fingerprint_bits", "left").select("*", hexed.alias("fingerprint"))
 
 
 def keep_first(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 3, seed: int = 42, radius: int = 3, segments: int = 2) -> DataFrame:
@@ -125,7 +125,10 @@ def keep_first(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle:
     """
     hashed = F.coalesce(F.md5(F.col(f"`{text}`").cast("binary")), F.lit(""))
     # A struct, so that null ids are equal to each other.
-    row = F.struct(F.col(f"`{id}`").alias("id"), hashed.alias("md5"))
-    groups = _grouped(docs.select(f"`{id}`", f"`{text}`", row.alias("__row")), text, id, shingle, seed, radius, segments)
-    kept = groups.groupBy("__component", F.col("__row.id").isNull()).agg(F.min("__row").alias("__row")).select("__row")
-    return docs.withColumn("__row", row).join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    row, name = F.struct(F.col(f"`{id}`").alias("id"), hashed.alias("md5")), fresh(docs, "row")
+    narrow, groups = _fingerprinted(docs.select(f"`{id}`", f"`{text}`", row.alias("__row")), text, id, shingle, seed, radius, segments)
+    # First within a fingerprint, then within a component: no task meets all copies of a text.
+    nameless = F.col("__row.id").isNull().alias("nameless")
+    first = narrow.groupBy("fingerprint_bits", nameless).agg(F.min("__row").alias("__row"))
+    kept = first.join(groups, "fingerprint_bits").groupBy("__component", "nameless").agg(F.min("__row").alias(name)).select(name)
+    return docs.withColumn(name, row).join(kept, name, "left_semi").dropDuplicates([name]).select(*(F.col(f"`{c}`") for c in docs.columns))
