@@ -36,6 +36,8 @@ from helixframe.runtime import bound_batches, fresh, materialize
 
 #: Shingles whose bits are counted at once; bounds the memory for very long texts.
 CHUNK = 16384
+#: A fingerprint is hot if it has more rows than HOT_ROWS and than one in HOT_SHARE of all: fewer than HOT_SHARE are.
+HOT_ROWS, HOT_SHARE = 1000, 10_000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -93,26 +95,31 @@ def linked_pairs(distinct: DataFrame, column: str, radius: int = 3, segments: in
 
 
 def _fingerprinted(docs: DataFrame, text: str, id: str, shingle: int, seed: int, radius: int, segments: int) -> tuple[DataFrame, DataFrame]:
-    """(``docs`` without its text, with fingerprint_bits; for each fingerprint its component_id and __component, the smallest fingerprint of the component)."""
+    """(``docs`` without its text, with fingerprint_bits; for each fingerprint its __rows, component_id and __component, the smallest fingerprint of the component)."""
     bound_batches(docs.sparkSession)
-    own = ("fingerprint", "fingerprint_bits", "component_id", "__component")
+    own = ("fingerprint", "fingerprint_bits", "component_id", "__component", "__rows")
     narrow = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c != text and c.lower() not in own), fingerprints(F.col(f"`{text}`"), shingle, seed).alias("fingerprint_bits"))
     narrow = materialize(narrow, "fingerprints")
-    by_value = materialize(narrow.groupBy("fingerprint_bits").agg(F.min(f"`{id}`").alias("first_id")), "distinct")
+    by_value = materialize(narrow.groupBy("fingerprint_bits").agg(F.min(f"`{id}`").alias("first_id"), F.count("*").alias("__rows")), "distinct")
     links = linked_pairs(by_value, "fingerprint_bits", radius, segments)
     comps = materialize(connected_components(links, "a", "b"), "components")
     # Only linked fingerprints go through the join; a lone fingerprint is its own component.
     members = comps.join(by_value, comps.node == by_value.fingerprint_bits).select("component", "fingerprint_bits", "first_id")
     smallest = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
     linked = members.join(smallest, "component").select("fingerprint_bits", "component", "component_id")
-    return narrow, by_value.join(linked, "fingerprint_bits", "left").select("fingerprint_bits", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component", "fingerprint_bits").alias("__component"))
+    return narrow, by_value.join(linked, "fingerprint_bits", "left").select("fingerprint_bits", "__rows", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("component", "fingerprint_bits").alias("__component"))
 
 
 def simhash_components(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 3, seed: int = 42, radius: int = 3, segments: int = 2) -> DataFrame:
     """``docs`` without its text, with fingerprint (16 hex digits), fingerprint_bits (signed long) and component_id."""
     hexed = F.lower(F.lpad(F.hex("fingerprint_bits"), 16, "0"))
     narrow, groups = _fingerprinted(docs, text, id, shingle, seed, radius, segments)
-    return narrow.join(groups.drop("__component"), "fingerprint_bits", "left").select("*", hexed.alias("fingerprint"))
+    groups = materialize(groups.select("fingerprint_bits", "__rows", "component_id"), "groups")
+    # Rows of hot fingerprints stay where they are and get their component by broadcast; the others are shuffled.
+    least = max(HOT_ROWS, narrow.count() // HOT_SHARE)
+    hot = F.broadcast(groups.where(F.col("__rows") > least).drop("__rows"))
+    few = narrow.join(hot, "fingerprint_bits", "left_anti").join(groups.drop("__rows"), "fingerprint_bits", "left")
+    return narrow.join(hot, "fingerprint_bits").unionByName(few).select("*", hexed.alias("fingerprint"))
 
 
 def keep_first(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = 3, seed: int = 42, radius: int = 3, segments: int = 2) -> DataFrame:

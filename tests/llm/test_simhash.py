@@ -45,6 +45,14 @@ def test_components_against_brute_force(spark):
     assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=str) == brute_components(rows())
 
 
+def test_hot_fingerprints(spark, monkeypatch):
+    """Rows of fingerprints that count as hot get the same components as others."""
+    monkeypatch.setattr(simhash, "HOT_ROWS", 1)
+    df = spark.createDataFrame(rows() * 2, "doc_id long, text string")
+    got = simhash.simhash_components(df)
+    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got.collect()), key=str) == brute_components(rows() * 2)
+
+
 def test_pairs_complete(spark):
     values = [0, 1, 7, 0xF, 1 << 63, (1 << 63) | 3, (1 << 32) | 1, (1 << 33) | (1 << 40) | 1, 2**64 - 1, 2**64 - 9]
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
