@@ -76,7 +76,9 @@ def linked_pairs(distinct: DataFrame, column: str, radius: int = 3, segments: in
     Of two values that differ by a flip mask, exactly one has a zero at the mask's
     lowest set bit; only that one enumerates the mask, which halves the probes and
     loses nothing.  Probes grow with the fingerprints, candidates with the true
-    matches of ``64 / segments`` bits.
+    matches of ``64 / segments`` bits.  The join always shuffles: Spark's estimate of an
+    exploded side leaves the masks out, so that a broadcast would send all probes through
+    the driver.
     """
     edges = [round(i * 64 / segments) for i in range(segments + 1)]
     cut = [(lo, hi - lo) for lo, hi in itertools.pairwise(edges)]
@@ -90,7 +92,7 @@ def linked_pairs(distinct: DataFrame, column: str, radius: int = 3, segments: in
     lowest = F.col("flip").bitwiseAND(-F.col("flip"))
     probe = probe.where(F.col("value").bitwiseAND(lowest) == 0).select("a", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    found = probe.join(table, ["segment", "value"]).where((F.col("a") != F.col("b")) & (distance <= radius))
+    found = probe.join(table.hint("merge"), ["segment", "value"]).where((F.col("a") != F.col("b")) & (distance <= radius))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -81,3 +81,12 @@ def test_keep_first_with_clashing_and_null_ids(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert simhash.simhash_components(df).count() == 0 and simhash.keep_first(df).columns == df.columns
+
+
+def test_probes_are_never_broadcast(spark):
+    """The estimated size of the probes leaves the masks out; a broadcast would take all of them through the driver."""
+    df = spark.range(2000).select(simhash.F.xxhash64("id").alias("fp"))
+    found = simhash.linked_pairs(df, "fp")
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
