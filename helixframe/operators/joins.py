@@ -121,11 +121,13 @@ def all_pairs(matches: DataFrame, on: str, order: str) -> DataFrame:
 
 
 def contained(spans: DataFrame, group: str, a: str, b: str, id: str) -> DataFrame:
-    """Rows whose span lies inside another's of the same group; of equal spans the smallest id contains the others."""
+    """(id, container) for each id whose span lies inside another's of the same group; of equal spans the smallest id contains the others.
+
+    An id appears once, also where several rows share it.
+    """
     x = spans.select(group, F.col(a).alias("xa"), F.col(b).alias("xb"), F.col(id).alias("xi"))
     inside = (F.col(a) >= F.col("xa")) & (F.col(b) <= F.col("xb")) & ((F.col(a) > F.col("xa")) | (F.col(b) < F.col("xb")) | (F.col(id) > F.col("xi")))
-    found = spans.join(x, group).where(inside).groupBy(id).agg(F.min("xi").alias("container"))
-    return spans.join(found, id)
+    return spans.join(x, group).where(inside).groupBy(id).agg(F.min("xi").alias("container"))
 
 
 def translate_ids(rows: DataFrame, merged: DataFrame, contained_in: DataFrame, id: str = "id") -> DataFrame:

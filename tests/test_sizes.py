@@ -69,3 +69,9 @@ def items(spark, path):
 
 def test_tile_none_with_shared_ids(spark, tmp_path):
     assert Q["tile_none"](spark, items(spark, tmp_path)).count() == 340
+
+
+def test_containment_with_shared_ids(spark):
+    rows = [(1, 1, 0, 100), (2, 1, 10, 20), (2, 1, 30, 40), (2, 2, 0, 5), (3, 1, 0, 100)]
+    got = J.contained(spark.createDataFrame(rows, "id long, ref long, a long, b long"), "ref", "a", "b", "id")
+    assert sorted((r.id, r.container) for r in got.select("id", "container").collect()) == [(2, 1), (3, 1)]
