@@ -9,6 +9,7 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 from collections.abc import Iterable
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -263,17 +264,22 @@ def trunk(tree: list[tuple[str, str, float]]) -> list[str]:
 def place_branches(path: list[str], tree: list[tuple[str, str, float]], scores: list[tuple[str, str, float]]) -> list[tuple[str, float]]:
     """Positions of all nodes along the trunk; a node off it stands half a step after the placed node it links best with."""
     at = {x: float(i) for i, x in enumerate(path)}
-    rest = sorted({x for a, b, _ in tree for x in (a, b)} - set(path))
-    while rest:
-        best = None
-        for a, b, s in [*scores, *tree]:
-            for x, y in ((a, b), (b, a)):
-                if x in rest and y in at and (best is None or (-s, x, y) < best):
-                    best = (-s, x, y)
-        if best is None:
-            break
-        at[best[1]] = at[best[2]] + 0.5
-        rest.remove(best[1])
+    rest = {x for a, b, _ in tree for x in (a, b)} - set(path)
+    near: dict[str, list[tuple[float, str]]] = defaultdict(list)
+    for a, b, s in chain(scores, tree):
+        near[a].append((-s, b))
+        near[b].append((-s, a))
+    # A link becomes open once, when the first of its nodes is placed.
+    heap = [(s, x, y) for y in at for s, x in near[y] if x in rest]
+    heapq.heapify(heap)
+    while heap:
+        _, x, y = heapq.heappop(heap)
+        if x in rest:
+            rest.remove(x)
+            at[x] = at[y] + 0.5
+            for s, z in near[x]:
+                if z in rest:
+                    heapq.heappush(heap, (s, z, x))
     return sorted(at.items(), key=lambda z: (z[1], z[0]))
 
 
@@ -281,6 +287,7 @@ def trees(edges: DataFrame) -> DataFrame:
     """Rows (component, node, position, in_trunk) of each component's spanning tree over edges (a, b, score)."""
     bound_batches(edges.sparkSession)
     e = edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "score")
+    e = materialize(e, "links")  # read by every round and by the kernel
     comp = connected_components(e, "a", "b")
     rows = e.join(comp, F.col("a") == F.col("node")).select("component", "a", "b", "score")
 
@@ -288,8 +295,8 @@ def trees(edges: DataFrame) -> DataFrame:
         links = list(df[["a", "b", "score"]].sort_values(["a", "b"]).itertuples(index=False, name=None))
         tree = spanning_tree(links, {})
         path = trunk(tree)
-        placed = place_branches(path, tree, links)
-        return pd.DataFrame([(df.component.iloc[0], n, p, n in path) for n, p in placed], columns=["component", "node", "position", "in_trunk"])
+        placed, on = place_branches(path, tree, links), set(path)
+        return pd.DataFrame([(df.component.iloc[0], n, p, n in on) for n, p in placed], columns=["component", "node", "position", "in_trunk"])
 
     return per_group(rows, ["component"], one, "component string, node string, position double, in_trunk boolean")
 

@@ -60,6 +60,23 @@ class Links(list):
         return super().__iter__()
 
 
+def test_branches_in_one_pass(spark):
+    """Each node off the trunk goes beside the placed node that it links best with, in one pass over the links."""
+    r = random.Random(3)
+    names = [f"n{i:03}" for i in range(60)]
+    links = Links((a, b, float(r.randrange(9))) for i, a in enumerate(names) for b in names[i + 1 :] if r.random() < 0.2 or b == names[i + 1])
+    tree = scaffold.spanning_tree(links, {})
+    path = scaffold.trunk(tree)
+    want = {x: float(i) for i, x in enumerate(path)}
+    both = [(-s, x, y) for a, b, s in [*list(links), *tree] for x, y in ((a, b), (b, a))]
+    while rest := [e for e in both if e[1] not in want and e[2] in want]:
+        _, x, y = min(rest)
+        want[x] = want[y] + 0.5
+    links.times = 0
+    assert dict(scaffold.place_branches(path, tree, links)) == want and len(want) == 60 and len(path) < 55
+    assert links.times == 1
+
+
 def items(spark, path):
     """Line items of which some share all that their id is made of."""
     li = spark.read.parquet(f"{DATA}/sf0.001/lineitem.parquet").limit(300)
