@@ -107,9 +107,9 @@ def near_reference_ends(matches: DataFrame, slack: int) -> DataFrame:
     return matches.where((F.col("rs") <= slack) | (F.col("re") >= F.col("rlen") - slack))
 
 
-def longest_member(joins: DataFrame, reads: DataFrame) -> DataFrame:
-    """For each kind of join its longest read (name, length) and its distinct members, in order."""
-    with_len = joins.join(reads.select(F.col("name").alias("qry"), F.length("seq").alias("n")), "qry")
+def longest_member(joins: DataFrame, reads: DataFrame, size: str = "length(seq)") -> DataFrame:
+    """For each kind of join its longest read and its distinct members, in order; ``size`` is a read's length, which ``reads`` may hold without its sequence."""
+    with_len = joins.join(reads.select(F.col("name").alias("qry"), F.expr(size).alias("n")), "qry")
     return with_len.groupBy("ctg1", "dir1", "ctg2", "dir2").agg(F.max(F.struct("n", (-F.col("qry")).alias("q"))).alias("b"), F.sort_array(F.collect_set("qry")).alias("members")).select("ctg1", "dir1", "ctg2", "dir2", (-F.col("b.q")).alias("longest"), "members")
 
 

@@ -50,6 +50,11 @@ def no_group_frames(spark, monkeypatch, run):
     return run(matches(spark)[0]).collect()
 
 
+def test_longest_member_makes_no_sequences(spark):
+    plan = Q["longest_read_per_join"](spark, f"{DATA}/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "repeat(" not in plan
+
+
 class Links(list):
     """A list that counts how often it is gone through."""
 
